@@ -11,6 +11,11 @@ from pyspark.sql import functions as F
 # The characters that count as white space in the cleaning rules (all of Unicode's
 # spaces and the four ASCII separators, which Java's \s leaves out).
 SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+_NUL_AND_BULLET = "\x00•"
+# A white space between a letter and a lower-case letter. The space comes first in the pattern, so
+# the letter before it is looked at only where there is one.
+_SPLIT_WORD = f"{SPACE}(?<=[A-Za-z]{SPACE})(?=[a-z])"
 
 
 def _col(column: Column | str) -> Column:
@@ -19,7 +24,7 @@ def _col(column: Column | str) -> Column:
 
 def strip(column: Column | str) -> Column:
     """Remove any white space, line breaks included, from both ends."""
-    return F.regexp_replace(_col(column), f"^{SPACE}+|{SPACE}+$", "")
+    return F.trim(_col(column), F.lit(_SPACES))
 
 
 def clean_line(column: Column | str) -> Column:
@@ -28,16 +33,16 @@ def clean_line(column: Column | str) -> Column:
     One white space between a letter and a lower-case letter goes away, so real word
     boundaries before lower-case words go away with it.
     """
-    rejoined = F.regexp_replace(_col(column), f"(?<=[A-Za-z]){SPACE}(?=[a-z])", "")
+    rejoined = F.regexp_replace(_col(column), _SPLIT_WORD, "")
     collapsed = F.regexp_replace(rejoined, SPACE + "{2,}", " ")
-    return strip(F.regexp_replace(collapsed, r"[\x00•]", ""))
+    return strip(F.translate(collapsed, _NUL_AND_BULLET, ""))
 
 
 def clean_line_consuming(column: Column | str) -> Column:
     """The older cleaning: a letter used by one repair cannot take part in the next."""
     rejoined = F.regexp_replace(_col(column), f"([A-Za-z]){SPACE}([a-z])", "$1$2")
     collapsed = F.regexp_replace(rejoined, SPACE + "+", " ")
-    return strip(F.regexp_replace(collapsed, r"[\x00•]", ""))
+    return strip(F.translate(collapsed, _NUL_AND_BULLET, ""))
 
 
 def contains_any(column: Column | str, words: Sequence[str]) -> Column:

@@ -58,16 +58,15 @@ def repair_chunks(chunks: DataFrame, text: str = "chunk_text") -> DataFrame:
 def chunk_lines(chunks: DataFrame, text: str = "chunk_text", min_len: int = 8) -> DataFrame:
     """Cleaned lines of each chunk with their place, short ones left out.
 
-    The chunk's text gives way to ``line_no``, ``line`` and ``lowered``.
+    The chunk's text gives way to ``line_no``, ``line`` and ``lowered``. Lines are cleaned before
+    they become rows, so the many conditions on a line read its cleaned form and do not clean it
+    again: a condition cannot move below the explode.
     """
     kept = [c for c in chunks.columns if c != text]
-    lines = chunks.select(*kept, F.posexplode(F.split(text, "\n")).alias("line_no", "_raw"))
-    return (
-        lines.withColumn("line", clean_line("_raw"))
-        .where(F.length("line") >= min_len)
-        .withColumn("lowered", F.lower("line"))
-        .drop("_raw")
-    )
+    cleaned = F.transform(F.split(text, "\n"), clean_line)
+    forms = F.transform(cleaned, lambda x: F.struct(x.alias("line"), F.lower(x).alias("lowered")))
+    lines = chunks.select(*kept, F.posexplode(forms).alias("line_no", "_forms"))
+    return lines.select(*kept, "line_no", "_forms.*").where(F.length("line") >= min_len)
 
 
 def drop_foreign_lines(

@@ -18,6 +18,7 @@ def build_session(app_name: str = "tallyloom", cores: str | int = "*", **conf: s
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "16g",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }

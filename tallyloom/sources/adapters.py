@@ -2,14 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallyloom.plans.metrics import Tables
+from tallyloom.session import park
+
+
+_schemas: dict[str, StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One test table; its schema is read from the file once per path."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def bronze_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,117 +70,162 @@ def _state_of(key: str) -> Column:
     return F.expr(f"concat('N', ({key} % 300) % 25)")
 
 
-def coverage_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """All logical tables of the metric layer, by name."""
+class LazyTables(Mapping):
+    """Logical tables by name, each built when first asked for.
+
+    With ``stored`` a table is also written to the scratch folder, for queries that read one
+    derived fact several times, as they would a stored table.
+    """
+
+    def __init__(self, builders: Mapping[str, Callable[[], DataFrame]], stored: bool = False):
+        self._builders = builders
+        self._stored = stored
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            df = self._builders[name]()
+            self._built[name] = park(df, name) if self._stored else df
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
+_CLINICS = """CASE WHEN z % 7 = 0
+  THEN array(CASE WHEN z % 10 <> 0 THEN concat('Clinic', z % 100) END,
+             concat('Clinic', (z + 25) % 100))
+  ELSE array(CASE WHEN z % 10 <> 0 THEN concat('Clinic', z % 100) END) END"""
+_LIVES = "sum(enrolled_lives) AS enrolled_lives"
+
+
+def coverage_tables(spark: SparkSession, sf_dir: str, stored: bool = False) -> Tables:
+    """All logical tables of the metric layer."""
 
     def read(name: str) -> DataFrame:
         return table(spark, sf_dir, name)
 
-    state = read("nation").select(
-        F.expr("concat('N', n_nationkey)").alias("state_code"), F.col("n_name").alias("state_name")
-    )
-    payers = read("supplier").selectExpr(
-        "s_suppkey AS payer_id",
-        "s_name AS payer_name",
-        "CASE WHEN s_nationkey % 6 <> 0 THEN s_nationkey END AS parent_payer_id",
-    )
-    parents = (
-        read("nation")
-        .where("n_regionkey < 4")
-        .selectExpr(
-            "n_nationkey AS parent_payer_id", "concat('Parent ', n_name) AS parent_payer_name"
+    def payers() -> DataFrame:
+        return read("supplier").selectExpr(
+            "s_suppkey AS payer_id",
+            "s_name AS payer_name",
+            "CASE WHEN s_nationkey % 6 <> 0 THEN s_nationkey END AS parent_payer_id",
         )
-    )
-    zips = (
-        read("customer")
-        .select((F.col("c_custkey") % 300).alias("z"))
-        .distinct()
-        .selectExpr(
+
+    def parents() -> DataFrame:
+        return (
+            read("nation")
+            .where("n_regionkey < 4")
+            .selectExpr(
+                "n_nationkey AS parent_payer_id", "concat('Parent ', n_name) AS parent_payer_name"
+            )
+        )
+
+    def zip_numbers() -> DataFrame:
+        return read("customer").selectExpr("c_custkey % 300 AS z").distinct()
+
+    def zips() -> DataFrame:
+        return zip_numbers().selectExpr(
             "concat('Z', z) AS zip_code",
             "concat('N', z % 25) AS state_code",
             "concat('County', z % 50) AS county_name",
             "concat('MSA', z % 75) AS msa_name",
-            "z",
         )
-    )
-    clinic_map = zips.select(
-        "zip_code",
-        "state_code",
-        F.explode(
-            F.expr(
-                "CASE WHEN z % 7 = 0"
-                " THEN array(CASE WHEN z % 10 <> 0 THEN concat('Clinic', z % 100) END,"
-                "            concat('Clinic', (z + 25) % 100))"
-                " ELSE array(CASE WHEN z % 10 <> 0 THEN concat('Clinic', z % 100) END) END"
+
+    def clinic_map() -> DataFrame:
+        return zip_numbers().selectExpr(
+            "concat('Z', z) AS zip_code",
+            "concat('N', z % 25) AS state_code",
+            f"explode({_CLINICS}) AS clinic_name",
+        )
+
+    def zip_lives() -> DataFrame:
+        return (
+            read("lineitem")
+            .join(read("orders"), F.expr("l_orderkey = o_orderkey"))
+            .groupBy(
+                _zip("o_custkey").alias("zip_code"),
+                F.col("l_suppkey").alias("payer_id"),
+                _state_of("o_custkey").alias("state_code"),
             )
-        ).alias("clinic_name"),
-    )
-    dim_zip = zips.drop("z")
-    zip_lives = (
-        read("lineitem")
-        .join(read("orders"), F.expr("l_orderkey = o_orderkey"))
-        .groupBy(
-            _zip("o_custkey").alias("zip_code"),
-            F.col("l_suppkey").alias("payer_id"),
-            _state_of("o_custkey").alias("state_code"),
+            .agg(F.expr("sum(cast(l_quantity AS bigint)) AS enrolled_lives"))
         )
-        .agg(F.sum(F.col("l_quantity").cast("bigint")).alias("enrolled_lives"))
-    )
-    lives = F.sum("enrolled_lives").alias("enrolled_lives")
-    placed = zip_lives.drop("state_code").join(dim_zip, "zip_code")
-    policies = read("orders").select(
-        F.col("o_orderkey").alias("policy_id"),
-        F.col("o_custkey").alias("insured_id"),
-        (F.col("o_orderkey") % 100).alias("payer_id"),
-        _zip("o_custkey").alias("zip_code"),
-        F.col("o_orderdate").cast("date").alias("effective_date"),
-        F.when(
-            F.col("o_orderstatus") != "O", F.date_add(F.col("o_orderdate").cast("date"), 365)
-        ).alias("term_date"),
-        F.when(F.col("o_orderstatus") == "F", True)
-        .when(F.col("o_orderstatus") == "O", False)
-        .alias("inactive"),
-    )
-    return {
-        "dim_state": state,
-        "dim_payers": payers,
-        "dim_parent_payer": parents,
-        "dim_payors_aba": payers.selectExpr("payer_id AS payor_id", "payer_name AS payor_name"),
-        "dim_zip": dim_zip,
-        "dim_county": dim_zip.select("county_name", "state_code").distinct(),
-        "dim_msa": dim_zip.select("msa_name", "state_code").distinct(),
-        "dim_clinic": clinic_map.where("clinic_name IS NOT NULL")
-        .select("clinic_name", "state_code")
-        .distinct(),
-        "map_clinic_to_zip": clinic_map,
-        "dim_insured_party": read("customer").select(
-            F.col("c_custkey").alias("insured_id"),
-            F.col("c_name").alias("last_name"),
-            _zip("c_custkey").alias("zip_code"),
-            (F.col("c_acctbal") < 0).alias("inactive"),
-        ),
-        "fact_zip_enrolled_lives": zip_lives,
-        "fact_county_enrolled_lives": placed.groupBy("state_code", "county_name", "payer_id").agg(
-            lives
-        ),
-        "fact_msa_enrolled_lives": placed.groupBy("state_code", "msa_name", "payer_id").agg(lives),
-        "fact_state_enrolled_lives": placed.groupBy("state_code", "payer_id").agg(lives),
-        "fact_bcab_counts": read("events")
-        .groupBy(
-            _zip("user_id").alias("zip_code"),
-            (F.col("event_id") % 100).alias("payer_id"),
-            _state_of("user_id").alias("state_code"),
+
+    def lives_by(*place: str) -> DataFrame:
+        placed = zip_lives().drop("state_code").join(zips(), "zip_code")
+        return placed.groupBy("state_code", *place, "payer_id").agg(F.expr(_LIVES))
+
+    def cases() -> DataFrame:
+        return (
+            read("events")
+            .groupBy(
+                _zip("user_id").alias("zip_code"),
+                F.expr("event_id % 100").alias("payer_id"),
+                _state_of("user_id").alias("state_code"),
+            )
+            .agg(F.expr("count(*) AS bcab_count"))
         )
-        .agg(F.count(F.lit(1)).alias("bcab_count")),
-        "fact_zip_pop_by_age": read("orders")
-        .groupBy(
-            _zip("o_custkey").alias("zip_code"),
-            F.col("o_orderpriority").alias("age_band"),
-            _state_of("o_custkey").alias("state_code"),
+
+    def population() -> DataFrame:
+        return (
+            read("orders")
+            .groupBy(
+                _zip("o_custkey").alias("zip_code"),
+                F.col("o_orderpriority").alias("age_band"),
+                _state_of("o_custkey").alias("state_code"),
+            )
+            .agg(F.expr("count(*) * 1000 AS population"))
         )
-        .agg((F.count(F.lit(1)) * 1000).alias("population")),
-        "fact_insurance_policy": policies,
-    }
+
+    def policies() -> DataFrame:
+        return read("orders").selectExpr(
+            "o_orderkey AS policy_id",
+            "o_custkey AS insured_id",
+            "o_orderkey % 100 AS payer_id",
+            "concat('Z', o_custkey % 300) AS zip_code",
+            "cast(o_orderdate AS date) AS effective_date",
+            "CASE WHEN o_orderstatus <> 'O' THEN date_add(cast(o_orderdate AS date), 365) END"
+            " AS term_date",
+            "CASE o_orderstatus WHEN 'F' THEN true WHEN 'O' THEN false END AS inactive",
+        )
+
+    return LazyTables(
+        {
+            "dim_state": lambda: read("nation").selectExpr(
+                "concat('N', n_nationkey) AS state_code", "n_name AS state_name"
+            ),
+            "dim_payers": payers,
+            "dim_parent_payer": parents,
+            "dim_payors_aba": lambda: payers().selectExpr(
+                "payer_id AS payor_id", "payer_name AS payor_name"
+            ),
+            "dim_zip": zips,
+            "dim_county": lambda: zips().select("county_name", "state_code").distinct(),
+            "dim_msa": lambda: zips().select("msa_name", "state_code").distinct(),
+            "dim_clinic": lambda: clinic_map()
+            .where("clinic_name IS NOT NULL")
+            .select("clinic_name", "state_code")
+            .distinct(),
+            "map_clinic_to_zip": clinic_map,
+            "dim_insured_party": lambda: read("customer").selectExpr(
+                "c_custkey AS insured_id",
+                "c_name AS last_name",
+                "concat('Z', c_custkey % 300) AS zip_code",
+                "c_acctbal < 0 AS inactive",
+            ),
+            "fact_zip_enrolled_lives": zip_lives,
+            "fact_county_enrolled_lives": lambda: lives_by("county_name"),
+            "fact_msa_enrolled_lives": lambda: lives_by("msa_name"),
+            "fact_state_enrolled_lives": lives_by,
+            "fact_bcab_counts": cases,
+            "fact_zip_pop_by_age": population,
+            "fact_insurance_policy": policies,
+        },
+        stored,
+    )
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,6 +237,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             "doc_type"
         ),
         F.col("text").alias("raw_content"),
+        F.current_timestamp().alias("ingested_at"),
     )
 
 
@@ -202,10 +259,28 @@ def embedded_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Products asked about, by label; further labels ask about a product without markers.
+PRODUCTS = [
+    "Laptop 14", "5G Smartphone", "Power Drill", "Kitchen Set", "Classic Jeans", "Classic Tee",
+    "Hand Tool Set",
+]
+
+
 def label_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One question per label, with the vector of the label's first entry."""
+    """One question per label, with the vector of the label's first entry and all arguments."""
+    names = F.array(*(F.lit(name) for name in PRODUCTS))
     return (
         table(spark, sf_dir, "embeddings")
         .groupBy(F.col("label").alias("query_id"))
         .agg(F.min_by("embedding", "vec_id").alias("qvec"))
+        .withColumn(
+            "product_keyword",
+            F.coalesce(F.get(names, F.col("query_id")), F.expr("concat('Item ', query_id)")),
+        )
+        .withColumn("query_text", F.expr("concat('about ', query_id)"))
+        .withColumn(
+            "doc_type", F.expr("elt(query_id % 3 + 1, 'product_spec', 'discount_policy', 'All')")
+        )
+        .withColumn("category_name", F.expr("concat('Category ', query_id)"))
+        .withColumn("region_name", F.expr("concat('Region ', query_id)"))
     )

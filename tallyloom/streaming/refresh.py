@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 BATCH = "_batch_id"
 
@@ -42,9 +42,8 @@ def refresh_index(
 
 def indexed_versions(spark: SparkSession, index_dir: str, schema: StructType) -> DataFrame:
     """Every version ever indexed, with the batch that brought it."""
-    return spark.read.schema(schema.add(BATCH, "long") if BATCH not in schema.names else schema).parquet(
-        index_dir
-    )
+    stored = StructType([*schema.fields, StructField(BATCH, LongType())])
+    return spark.read.schema(stored).parquet(index_dir)
 
 
 def current_index(
@@ -59,7 +58,7 @@ def current_index(
     The latest row is a maximum, combined before the shuffle, so a key sent very often costs one
     row per task.
     """
-    rows = indexed_versions(spark, index_dir, StructType(list(schema.fields)))
+    rows = indexed_versions(spark, index_dir, schema)
     columns = schema.names
     latest = F.max_by(F.struct(*columns), F.struct(version, BATCH)).alias("_latest")
     return rows.groupBy(F.col(key).alias("_key")).agg(latest).select("_latest.*")

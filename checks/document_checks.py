@@ -398,8 +398,8 @@ def _(spark, sf):
 @check("v5_nearest_approximate")
 def _(spark, sf):
     corpus = emb(spark, sf)
-    model = v.fit_lsh(corpus)
-    return v.similarity_topk_lsh(v.lsh_index(corpus, model), model, questions(spark, sf))
+    lsh = v.fit_lsh(corpus, 64)
+    return v.similarity_topk_lsh(v.lsh_index(corpus, lsh), lsh, questions(spark, sf))
 
 
 @check("v1_embed_documents")

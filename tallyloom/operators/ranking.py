@@ -56,8 +56,13 @@ def surrogate_key(df: DataFrame, order: Sequence[str | Column], name: str) -> Da
     )
 
 
-def _rank(df: DataFrame, value: str, name: str, partition: Sequence[str], weight: Column) -> DataFrame:
-    """Rank by descending ``value``; ``weight`` is what each distinct value adds to later ranks."""
+def _ranks(
+    df: DataFrame, value: str, name: str, partition: Sequence[str], weight: Column
+) -> DataFrame:
+    """The rank of each distinct value, by descending ``value`` within ``partition``.
+
+    ``weight`` is what a distinct value adds to the ranks after it.
+    """
     keys = [*partition, value]
     steps = df.groupBy(*keys).agg(weight.cast("long").alias("_weight"))
     stamped = _by_range(steps, [*(F.col(c) for c in partition), F.col(value).desc()])
@@ -73,24 +78,26 @@ def _rank(df: DataFrame, value: str, name: str, partition: Sequence[str], weight
         placed = join_null_safe(placed, starts, partition)
     else:
         placed = placed.withColumn("_start", F.lit(0))
-    ranks = placed.select(*keys, (F.col("_before") - F.col("_start") + 1).alias(name))
-    return join_null_safe(df, ranks, keys)
+    return placed.select(*keys, (F.col("_before") - F.col("_start") + 1).alias(name))
 
 
 def dense_rank_by(df: DataFrame, value: str, name: str, partition: Sequence[str] = ()) -> DataFrame:
     """``dense_rank()`` by descending value, within ``partition`` if given; NULL ranks last."""
-    return _rank(df, value, name, partition, F.lit(1))
+    return join_null_safe(df, _ranks(df, value, name, partition, F.lit(1)), [*partition, value])
 
 
 def rank_by(df: DataFrame, value: str, name: str, partition: Sequence[str] = ()) -> DataFrame:
     """``rank()`` by descending value: ties share a rank and leave a gap after them."""
-    return _rank(df, value, name, partition, F.count(F.lit(1)))
+    count = F.count(F.lit(1))
+    return join_null_safe(df, _ranks(df, value, name, partition, count), [*partition, value])
 
 
 def revenue_ranks(products: DataFrame, value: str = "total_revenue") -> DataFrame:
     """Revenue rank among all products and among those of the same category."""
-    overall = dense_rank_by(products, value, "revenue_rank")
-    return dense_rank_by(overall, value, "category_revenue_rank", ["category"])
+    overall = _ranks(products, value, "revenue_rank", [], F.lit(1))
+    in_category = _ranks(products, value, "category_revenue_rank", ["category"], F.lit(1))
+    ranked = join_null_safe(products, overall, [value])
+    return join_null_safe(ranked, in_category, ["category", value])
 
 
 def lag_growth(

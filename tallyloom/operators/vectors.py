@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +13,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
     IDF,
     BucketedRandomProjectionLSH,
+    BucketedRandomProjectionLSHModel,
     HashingTF,
     Normalizer,
     RegexTokenizer,
@@ -35,6 +38,13 @@ _SCORES_PER_BLOCK = 4_000_000
 # Similarities are compared at this many decimals; equal ones are ordered by id.
 SCORE_DECIMALS = 6
 
+# The approximate search: hash tables, projections combined in each, how many standard
+# deviations of a projection one bucket spans, and how many buckets a filter may name.
+LSH_TABLES = 8
+LSH_PROJECTIONS = 3
+LSH_SPREADS_PER_BUCKET = 2.0
+LSH_FILTERED_BUCKETS = 200
+
 
 def fit_embedder(df: DataFrame, text: str, dim: int = EMBEDDING_DIM) -> PipelineModel:
     """Hashed term frequencies, weighted by rarity, at unit length."""
@@ -213,46 +223,74 @@ def _dot(left: str, right: str) -> Column:
     return F.aggregate(products, F.lit(0.0), lambda a, x: a + x)
 
 
-def _unit_rows(df: DataFrame, vector: str) -> DataFrame:
-    """Rows with a usable vector, at unit length, as array ``_unit`` and as vector ``_point``."""
+@dataclass(frozen=True)
+class Lsh:
+    """Random projections of vectors of one length, several combined in each hash table."""
+
+    model: BucketedRandomProjectionLSHModel
+    dim: int
+    projections: int
+
+    @property
+    def tables(self) -> int:
+        return self.model.getNumHashTables() // self.projections
+
+
+def _unit_rows(df: DataFrame, vector: str, dim: int) -> DataFrame:
+    """Rows with a comparable vector, at unit length, as array ``_unit`` and vector ``_point``."""
     doubles = F.col(vector).cast("array<double>")
     return (
-        df.where(F.exists(vector, lambda x: x != 0))
+        df.where((F.size(vector) == dim) & F.exists(vector, lambda x: x != 0))
         .withColumn("_unit", doubles)
         .withColumn("_unit", _unit("_unit"))
         .withColumn("_point", array_to_vector("_unit"))
     )
 
 
-def fit_lsh(emb: DataFrame, tables: int = 6, bucket_length: float = 0.5, seed: int = 7):
-    """Random projections for unit vectors of the corpus's length."""
+def fit_lsh(
+    emb: DataFrame,
+    dim: int,
+    tables: int = LSH_TABLES,
+    projections: int = LSH_PROJECTIONS,
+    seed: int = 7,
+) -> Lsh:
+    """Random projections for unit vectors of length ``dim``.
+
+    Projections of unit vectors spread by one over the root of the dimension, and the bucket
+    length follows that spread.
+    """
     lsh = BucketedRandomProjectionLSH(
         inputCol="_point",
         outputCol="_hashes",
-        bucketLength=bucket_length,
-        numHashTables=tables,
+        bucketLength=LSH_SPREADS_PER_BUCKET / dim**0.5,
+        numHashTables=tables * projections,
         seed=seed,
     )
-    return lsh.fit(_unit_rows(emb, "embedding"))
+    return Lsh(lsh.fit(_unit_rows(emb, "embedding", dim)), dim, projections)
 
 
-def _buckets(df: DataFrame, model) -> DataFrame:
-    hashed = model.transform(df)
-    buckets = F.transform("_hashes", lambda h: F.element_at(vector_to_array(h), 1).cast("long"))
+def _buckets(df: DataFrame, lsh: Lsh) -> DataFrame:
+    """A row per hash table: the bucket is the combination of the table's projections."""
+    cells = F.transform("_hashes", lambda h: F.element_at(vector_to_array(h), 1).cast("long"))
+    n = lsh.projections
+    buckets = F.array(
+        *(F.xxhash64(F.slice("_cells", i * n + 1, n)) for i in range(lsh.tables))
+    )
+    hashed = lsh.model.transform(df).withColumn("_cells", cells)
     return hashed.select(
         *(c for c in df.columns if c != "_point"),
         F.posexplode(buckets).alias("hash_table", "bucket"),
     )
 
 
-def lsh_index(emb: DataFrame, model, path: str | None = None) -> DataFrame:
+def lsh_index(emb: DataFrame, lsh: Lsh, path: str | None = None) -> DataFrame:
     """One row per chunk and hash table, sorted by bucket so that a lookup reads few row groups.
 
     Placement is by range of (table, bucket, id): a bucket holding a third of all chunks is
     spread over many partitions.
     """
-    rows = _buckets(_unit_rows(emb, "embedding"), model).select(
-        "hash_table", "bucket", "chunk_id", "doc_type", "_unit"
+    rows = _buckets(_unit_rows(emb, "embedding", lsh.dim), lsh).select(
+        "hash_table", "bucket", "chunk_id", "doc_type", F.col("_unit").cast("array<float>")
     )
     placed = rows.repartitionByRange("hash_table", "bucket", "chunk_id").sortWithinPartitions(
         "hash_table", "bucket"
@@ -264,19 +302,36 @@ def lsh_index(emb: DataFrame, model, path: str | None = None) -> DataFrame:
 
 
 def similarity_topk_lsh(
-    index: DataFrame, model, questions: DataFrame, k: int = 5, max_questions: int = QUESTIONS_PER_PASS
+    index: DataFrame,
+    lsh: Lsh,
+    questions: DataFrame,
+    k: int = 5,
+    max_questions: int = QUESTIONS_PER_PASS,
 ) -> DataFrame:
     """Approximate top-k: exact cosine among chunks that share a bucket with the question.
 
-    Returns ids and scores only. Questions beyond ``max_questions`` take the shuffled join.
+    Returns ids and scores only, possibly fewer than ``k``. The probed buckets are named in a
+    filter on the index, so only row groups holding them are read. Questions beyond
+    ``max_questions`` take the shuffled join.
     """
-    probes = _buckets(
-        _unit_rows(questions.select("query_id", "qvec"), "qvec").drop("qvec"), model
-    ).withColumnRenamed("_unit", "_asked")
-    if questions.limit(max_questions + 1).count() <= max_questions:
-        probes = F.broadcast(probes)
+    asked = _unit_rows(questions.select("query_id", "qvec"), "qvec", lsh.dim).drop("qvec")
+    probes = _buckets(asked, lsh).withColumnRenamed("_unit", "_asked")
+    known = probes.limit(max_questions * lsh.tables + 1).collect()
+    if len(known) <= max_questions * lsh.tables:
+        probes = F.broadcast(index.sparkSession.createDataFrame(known, probes.schema))
+        wanted = {(row["hash_table"], row["bucket"]) for row in known}
+        if len(wanted) <= LSH_FILTERED_BUCKETS:
+            index = index.where(
+                reduce(
+                    Column.__or__,
+                    ((F.col("hash_table") == t) & (F.col("bucket") == b) for t, b in wanted),
+                    F.lit(False),
+                )
+            )
     scored = index.join(probes, ["hash_table", "bucket"]).select(
-        "query_id", "chunk_id", F.round(_dot("_unit", "_asked"), SCORE_DECIMALS).alias("score")
+        "query_id",
+        "chunk_id",
+        F.round(_dot(F.col("_unit").cast("array<double>"), "_asked"), SCORE_DECIMALS).alias("score"),
     )
     distinct = scored.groupBy("query_id", "chunk_id").agg(F.max("score").alias("score"))
     return first_n_per(distinct, ["query_id"], [F.desc("score"), "chunk_id"], k, "rank")

@@ -19,6 +19,7 @@ from tallyloom.functions.sales import (
 )
 from tallyloom.operators.joins import join_optional
 from tallyloom.operators.ranking import lag_growth, revenue_ranks, surrogate_key
+from tallyloom.session import park
 
 _GEOGRAPHY = ["country", "state", "city", "region"]
 _PRODUCT = ["product_sku", "product_name", "category", "brand"]
@@ -245,7 +246,7 @@ def date_dim(wide: DataFrame) -> DataFrame:
     )
 
 
-def product_rows(wide: DataFrame, performance: DataFrame) -> DataFrame:
+def product_rows(products: DataFrame, performance: DataFrame) -> DataFrame:
     """Distinct products with the mart's measures, joined on sku alone.
 
     A sku with several names therefore meets every mart row of that sku.
@@ -260,15 +261,23 @@ def product_rows(wide: DataFrame, performance: DataFrame) -> DataFrame:
         "countries_sold",
         "regions_sold",
     )
-    return join_optional(wide.select(*_PRODUCT).distinct(), measures, "product_sku").withColumnsRenamed(
+    return join_optional(products, measures, "product_sku").withColumnsRenamed(
         {"product_sku": "sku", "product_name": "product"}
     )
 
 
 def product_dim(wide: DataFrame, performance: DataFrame | None = None) -> DataFrame:
-    """Products numbered by sku; remaining columns break ties so that keys repeat."""
-    performance = gold_product_performance(wide) if performance is None else performance
-    rows = product_rows(wide, performance)
+    """Products numbered by sku; remaining columns break ties so that keys repeat.
+
+    Without a stored mart, the mart is computed once and its keys, which are the distinct
+    products, stand in for a second pass over the transactions.
+    """
+    if performance is None:
+        performance = park(gold_product_performance(wide), "performance")
+        products = performance.select(*_PRODUCT)
+    else:
+        products = wide.select(*_PRODUCT).distinct()
+    rows = product_rows(products, performance)
     return surrogate_key(rows, ["sku", *(c for c in rows.columns if c != "sku")], "product_key")
 
 

@@ -24,16 +24,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bronze_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw sales transactions from line items and what they refer to."""
+    """Raw sales transactions from line items and what they refer to.
+
+    Orders meet their customers before they meet the line items, so the largest table is
+    shuffled for orders and parts only.
+    """
     places = (
         table(spark, sf_dir, "customer")
         .join(table(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey"))
         .join(table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey"))
     )
+    placed_orders = table(spark, sf_dir, "orders").join(places, F.expr("o_custkey = c_custkey"))
     sales = (
         table(spark, sf_dir, "lineitem")
-        .join(table(spark, sf_dir, "orders"), F.expr("l_orderkey = o_orderkey"))
-        .join(places, F.expr("o_custkey = c_custkey"))
+        .join(placed_orders, F.expr("l_orderkey = o_orderkey"))
         .join(table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"))
     )
     return sales.selectExpr(

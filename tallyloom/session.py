@@ -17,6 +17,9 @@ def build_session(app_name: str = "tallyloom", cores: str | int = "*", **conf: s
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # Parquet files are several times smaller than their rows; without this a fact table
+        # can pass for small enough to broadcast.
+        "spark.sql.sources.fileCompressionFactor": "4.0",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "16g",

@@ -10,8 +10,16 @@ from pyspark.sql.types import StructType
 
 from tallyloom.plans.metrics import Tables
 from tallyloom.session import park
+from tallyloom.sources.files import spread
 
 
+# Keys by which a large table is spread when its file cannot be split.
+_SPREAD_KEYS = {
+    "lineitem": "l_orderkey",
+    "orders": "o_orderkey",
+    "events": "event_id",
+    "documents": "doc_id",
+}
 _schemas: dict[str, StructType] = {}
 
 
@@ -20,21 +28,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir}/{name}.parquet"
     if path not in _schemas:
         _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    df = spark.read.schema(_schemas[path]).parquet(path)
+    return spread(df, _SPREAD_KEYS[name]) if name in _SPREAD_KEYS else df
 
 
 def bronze_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw sales transactions from line items and what they refer to.
 
     Orders meet their customers before they meet the line items, so the largest table is
-    shuffled for orders and parts only.
+    shuffled for orders and parts only. Each right side is a plain scan, whose size Spark knows.
     """
-    places = (
-        table(spark, sf_dir, "customer")
+    placed_orders = (
+        table(spark, sf_dir, "orders")
+        .join(table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey"))
         .join(table(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey"))
         .join(table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey"))
     )
-    placed_orders = table(spark, sf_dir, "orders").join(places, F.expr("o_custkey = c_custkey"))
     sales = (
         table(spark, sf_dir, "lineitem")
         .join(placed_orders, F.expr("l_orderkey = o_orderkey"))
@@ -77,7 +86,7 @@ def _state_of(key: str) -> Column:
 class LazyTables(Mapping):
     """Logical tables by name, each built when first asked for.
 
-    With ``stored`` a table is also written to the scratch folder, for queries that read one
+    With ``stored`` a fact is also written to the scratch folder, for queries that read one
     derived fact several times, as they would a stored table.
     """
 
@@ -89,7 +98,8 @@ class LazyTables(Mapping):
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
             df = self._builders[name]()
-            self._built[name] = park(df, name) if self._stored else df
+            parked = self._stored and name.startswith("fact_")
+            self._built[name] = park(df, name) if parked else df
         return self._built[name]
 
     def __iter__(self):

@@ -34,6 +34,15 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread a scan over all cores if its files give fewer tasks than there are cores.
+
+    A table of many files or row groups is left as it is, so nothing is shuffled at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def overwrite_table(
     df: DataFrame, name: str, path: str | None = None, partition_by: Sequence[str] = ()
 ) -> DataFrame:

@@ -11,10 +11,11 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions import wordlists as words
+from tallyloom.functions.text import match_key
 from tallyloom.operators.ranking import first_n_per
 from tallyloom.operators.text import (
     chunk_lines,
@@ -186,33 +187,20 @@ def get_product_profile(
     about = hits.select("query_id", "rank", "chunk_text").join(
         questions.select("query_id", "product_keyword"), "query_id"
     )
-    lines = classify_lines(about, ["query_id"])
     by = ["query_id", "section"]
-    kept = first_n_per(dedupe_lines(lines, by, _PLACE), by, _PLACE, 15)
-    listed = kept.groupBy("query_id").agg(
-        *(
-            join_lines(
-                "* ",
-                F.when((F.col("section") == name) & (F.col("position") <= limit), F.col("line")),
-                "\n",
-                *_PLACE,
-            ).alias(name)
-            for name, _, limit in PROFILE_LAYOUT
-        )
-    )
-    present = lines.groupBy("query_id").agg(
-        *(F.max(F.col("section") == name).alias(f"_has_{name}") for name, _, _ in PROFILE_LAYOUT)
-    )
-    parts = [
-        F.when(
-            F.col(f"_has_{name}"),
-            F.concat(F.lit(f"\n\n{heading}:\n"), F.coalesce(F.col(name), F.lit(""))),
-        )
-        for name, heading, _ in PROFILE_LAYOUT
-    ]
-    body = present.join(listed, "query_id", "left").select(
-        "query_id", F.concat_ws("", *parts).alias("_body")
+    unique = dedupe_lines(classify_lines(about, ["query_id"]), by, _PLACE, min_key_len=0)
+    listable = F.length(match_key("line")) > 5
+    so_far = Window.partitionBy(*by).orderBy(*_PLACE)
+    placed = unique.withColumn("_listable", listable).withColumn(
+        "_position", F.sum(F.col("_listable").cast("int")).over(so_far)
     )
+    parts = []
+    for name, heading, limit in PROFILE_LAYOUT:
+        here = F.col("section") == name
+        shown = here & F.col("_listable") & (F.col("_position") <= limit)
+        listed = join_lines("* ", F.when(shown, F.col("line")), "\n", *_PLACE)
+        parts.append(F.when(F.max(here), F.concat(F.lit(f"\n\n{heading}:\n"), listed)))
+    body = placed.groupBy("query_id").agg(F.concat_ws("", *parts).alias("_body"))
     title = F.concat(F.lit("Full Product Profile: "), F.col("product_keyword"))
     nothing = F.concat(F.lit("No information found for "), F.col("product_keyword"))
     return _finish(questions, body, title, nothing)

@@ -52,9 +52,20 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_scratch[app]
 
 
+def _application_folder(spark: SparkSession) -> str:
+    return os.path.join(scratch_root(spark), "tallyloom", spark.sparkContext.applicationId)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the scratch folder."""
-    return os.path.join(scratch_root(spark), "tallyloom", f"{label}-{uuid.uuid4().hex}")
+    """A new, unused path in this application's part of the scratch folder."""
+    return os.path.join(_application_folder(spark), f"{label}-{uuid.uuid4().hex}")
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application parked; frames that read it are of no use afterwards."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def park(df: DataFrame, label: str = "parked") -> DataFrame:

@@ -60,6 +60,15 @@ def test_parked_rows_keep_their_values(spark, rows):
     assert rows(parked) == rows(parked)
 
 
+def test_scratch_can_be_cleared(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(session, "scratch_root", lambda spark: str(tmp_path))
+    assert park(spark.range(3)).count() == 3
+    folder = tmp_path / "tallyloom" / spark.sparkContext.applicationId
+    assert len(list(folder.iterdir())) == 1
+    session.clear_scratch(spark)
+    assert not folder.exists()
+
+
 def test_scratch_follows_the_cluster_setting(spark, monkeypatch, tmp_path):
     class Conf:
         def get(self, key, default=None):

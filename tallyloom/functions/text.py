@@ -8,14 +8,15 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters that count as white space in the cleaning rules (all of Unicode's
-# spaces and the four ASCII separators, which Java's \s leaves out).
-SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# The characters that count as white space in the cleaning rules are Unicode's white
+# space and four ASCII separators. The flags make \s mean the former and let a dot match a line end.
+_FLAGS = "(?Us)"
+SPACE = r"[\s\x1c-\x1f]"
 _SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
-_NUL_AND_BULLET = "\x00•"
 # A white space between a letter and a lower-case letter. The space comes first in the pattern, so
 # the letter before it is looked at only where there is one.
-_SPLIT_WORD = f"{SPACE}(?<=[A-Za-z]{SPACE})(?=[a-z])"
+_SPLIT_WORD = f"{_FLAGS}{SPACE}(?<=[A-Za-z].)(?=[a-z])"
+_RUN_OF_SPACES = f"{_FLAGS}{SPACE}{{2,}}"
 
 
 def _col(column: Column | str) -> Column:
@@ -27,6 +28,12 @@ def strip(column: Column | str) -> Column:
     return F.trim(_col(column), F.lit(_SPACES))
 
 
+def _without_marks(text: Column) -> Column:
+    """The text without NULs and bullets."""
+    nothing = F.lit("")
+    return F.replace(F.replace(text, F.lit("\x00"), nothing), F.lit("•"), nothing)
+
+
 def clean_line(column: Column | str) -> Column:
     """Rejoin split words, collapse white space, drop NULs and bullets, strip.
 
@@ -34,15 +41,14 @@ def clean_line(column: Column | str) -> Column:
     boundaries before lower-case words go away with it.
     """
     rejoined = F.regexp_replace(_col(column), _SPLIT_WORD, "")
-    collapsed = F.regexp_replace(rejoined, SPACE + "{2,}", " ")
-    return strip(F.translate(collapsed, _NUL_AND_BULLET, ""))
+    return strip(_without_marks(F.regexp_replace(rejoined, _RUN_OF_SPACES, " ")))
 
 
 def clean_line_consuming(column: Column | str) -> Column:
     """The older cleaning: a letter used by one repair cannot take part in the next."""
-    rejoined = F.regexp_replace(_col(column), f"([A-Za-z]){SPACE}([a-z])", "$1$2")
-    collapsed = F.regexp_replace(rejoined, SPACE + "+", " ")
-    return strip(F.translate(collapsed, _NUL_AND_BULLET, ""))
+    split_pair = f"{_FLAGS}([A-Za-z]){SPACE}([a-z])"
+    rejoined = F.regexp_replace(_col(column), split_pair, "$1$2")
+    return strip(_without_marks(F.regexp_replace(rejoined, f"{_FLAGS}{SPACE}+", " ")))
 
 
 def contains_any(column: Column | str, words: Sequence[str]) -> Column:
@@ -53,7 +59,7 @@ def contains_any(column: Column | str, words: Sequence[str]) -> Column:
 
 def match_key(column: Column | str) -> Column:
     """What two lines must share to count as the same: lower-case ASCII letters and digits."""
-    return F.regexp_replace(F.lower(_col(column)), "[^a-z0-9]", "")
+    return F.regexp_replace(F.lower(_col(column)), "[^a-z0-9]+", "")
 
 
 def product_key(column: Column | str) -> Column:

@@ -315,10 +315,12 @@ def similarity_topk_lsh(
     ``max_questions`` take the shuffled join.
     """
     asked = _unit_rows(questions.select("query_id", "qvec"), "qvec", lsh.dim).drop("qvec")
-    probes = _buckets(asked, lsh).withColumnRenamed("_unit", "_asked")
+    vectors = asked.select("query_id", F.col("_unit").alias("_asked"))
+    probes = _buckets(asked, lsh).select("query_id", "hash_table", "bucket")
     known = probes.limit(max_questions * lsh.tables + 1).collect()
     if len(known) <= max_questions * lsh.tables:
         probes = F.broadcast(index.sparkSession.createDataFrame(known, probes.schema))
+        vectors = F.broadcast(vectors)
         wanted = {(row["hash_table"], row["bucket"]) for row in known}
         if len(wanted) <= LSH_FILTERED_BUCKETS:
             index = index.where(
@@ -328,10 +330,10 @@ def similarity_topk_lsh(
                     F.lit(False),
                 )
             )
-    scored = index.join(probes, ["hash_table", "bucket"]).select(
-        "query_id",
-        "chunk_id",
-        F.round(_dot(F.col("_unit").cast("array<double>"), "_asked"), SCORE_DECIMALS).alias("score"),
+    candidates = index.join(probes, ["hash_table", "bucket"]).join(vectors, "query_id")
+    similarity = _dot(F.col("_unit").cast("array<double>"), "_asked")
+    scored = candidates.select(
+        "query_id", "chunk_id", F.round(similarity, SCORE_DECIMALS).alias("score")
     )
     distinct = scored.groupBy("query_id", "chunk_id").agg(F.max("score").alias("score"))
     return first_n_per(distinct, ["query_id"], [F.desc("score"), "chunk_id"], k, "rank")

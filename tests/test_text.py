@@ -15,8 +15,10 @@ def cleaned_in_python(line):
 
 def test_clean_line_matches_the_rule_on_random_text(spark):
     rnd = random.Random(5)
-    alphabet = "abAB ,.5\t\x00•\xa0\x1c\x85 é "
-    lines = ["".join(rnd.choices(alphabet, k=rnd.randint(0, 14))) for _ in range(4000)]
+    spaces = "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c != " ")
+    alphabet = "abAB ,.5\x00•é\u200b" + "ab AB " * 6 + spaces
+    lines = ["".join(rnd.choices(alphabet, k=rnd.randint(0, 14))) for _ in range(6000)]
+    lines += [f"a{c}b" for c in spaces] + [f"{c}a{c}{c}B{c}" for c in spaces]
     df = spark.createDataFrame([(x,) for x in lines], "x string")
     got = {r[0]: r[1] for r in df.select("x", ft.clean_line("x")).collect()}
     assert got == {x: cleaned_in_python(x) for x in lines}

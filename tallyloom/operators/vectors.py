@@ -129,12 +129,17 @@ def _nearest_in_task(rows: Sequence[Row], k: int, schema: pa.Schema):
         with np.errstate(invalid="ignore", divide="ignore"):
             scores = np.round((vectors @ matrix[askable].T) / norms[:, None], SCORE_DECIMALS)
         scores[~np.isfinite(scores)] = -np.inf
-        types = np.asarray(block.column("doc_type").to_pylist(), dtype=object)
+        by_type = {
+            wanted: pc.fill_null(pc.equal(block.column("doc_type"), wanted), False).to_numpy(
+                zero_copy_only=False
+            )
+            for wanted in {f for f in filters if f is not None}
+        }
         ids = block.column("chunk_id")
         for column, i in enumerate(askable):
             mine = scores[:, column]
             if filters[i] is not None:
-                mine = np.where(types == filters[i], mine, -np.inf)
+                mine = np.where(by_type[filters[i]], mine, -np.inf)
             floor = -best[i][-1][0] if len(best[i]) == k else -np.inf
             if len(mine) > k:
                 floor = max(floor, np.partition(mine, -k)[-k])

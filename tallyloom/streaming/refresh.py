@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from tallyloom.operators.joins import join_null_safe
+
 BATCH = "_batch_id"
 
 
@@ -55,13 +57,19 @@ def current_index(
 ) -> DataFrame:
     """The latest version of each key; among equal versions the later batch wins.
 
-    The latest row is a maximum, combined before the shuffle, so a key sent very often costs one
-    row per task.
+    Counting the versions shuffles keys alone. Rows sent once, most of them, pass as they are:
+    the keys sent again are a small side that AQE broadcasts when its measured size allows. Only
+    rows of those keys are compared, by a maximum that is combined before the shuffle, so a key
+    sent very often costs one row per task.
     """
     rows = indexed_versions(spark, index_dir, schema)
     columns = schema.names
+    again = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(key)
+    once = join_null_safe(rows, again, [key], "left_anti").select(*columns)
     latest = F.max_by(F.struct(*columns), F.struct(version, BATCH)).alias("_latest")
-    return rows.groupBy(F.col(key).alias("_key")).agg(latest).select("_latest.*")
+    resent = join_null_safe(rows, again, [key], "left_semi")
+    several = resent.groupBy(F.col(key).alias("_key")).agg(latest)
+    return once.unionByName(several.select("_latest.*"))
 
 
 def freshness(source: DataFrame, index: DataFrame) -> DataFrame:

@@ -37,18 +37,25 @@ def orphan_audit(
     return used.join(known, condition, "left_anti")
 
 
-def fanout_audit(
+def matched_keys(
     left: DataFrame, right: DataFrame, keys: Sequence[tuple[str, str]]
 ) -> DataFrame:
-    """Largest number of right rows that one left key meets, and how many keys meet several."""
+    """Left keys that meet right rows, with the number ``n`` of those rows."""
     used = left.select(*(a for a, _ in keys)).distinct()
     per_key = right.groupBy(*(F.col(b).alias(f"_{b}") for _, b in keys)).agg(
-        F.count(F.lit(1)).alias("_n")
+        F.count(F.lit(1)).alias("n")
     )
     condition = reduce(Column.__and__, (F.col(a) == F.col(f"_{b}") for a, b in keys))
-    return used.join(per_key, condition).agg(
-        F.coalesce(F.max("_n"), F.lit(0)).alias("max_matches"),
-        F.count_if(F.col("_n") > 1).alias("keys_with_several"),
+    return used.join(per_key, condition)
+
+
+def fanout_audit(
+    left: DataFrame, right: DataFrame, keys: Sequence[tuple[str, str]]
+) -> DataFrame:
+    """Largest number of right rows that one left key meets, and how many keys meet several."""
+    return matched_keys(left, right, keys).agg(
+        F.coalesce(F.max("n"), F.lit(0)).alias("max_matches"),
+        F.count_if(F.col("n") > 1).alias("keys_with_several"),
     )
 
 

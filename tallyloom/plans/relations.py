@@ -4,31 +4,41 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.operators.audits import fanout_audit, orphan_audit
+from tallyloom.operators.audits import matched_keys, orphan_audit
 from tallyloom.plans.metrics import RELATIONSHIPS, Tables
+from tallyloom.sources.files import rows
 
 
-def _per_edge(tables: Tables, audit) -> DataFrame:
-    reports = [
-        audit(tables[edge.left], tables[edge.right], edge.keys).withColumn("edge", F.lit(name))
+def _by_edge(tables: Tables, findings, *aggregates: Column) -> DataFrame:
+    """Findings of all edges summed up together; an edge without any keeps a row of zeros."""
+    found = [
+        findings(tables[edge.left], tables[edge.right], edge.keys).select(
+            F.lit(name).alias("edge"), F.col("n").cast("long")
+        )
         for name, edge in RELATIONSHIPS.items()
     ]
-    return reduce(DataFrame.unionByName, reports)
+    summed = reduce(DataFrame.unionByName, found).groupBy("edge").agg(*aggregates)
+    spark = found[0].sparkSession
+    names = rows(spark, [(name,) for name in RELATIONSHIPS], "edge string")
+    return names.join(summed, "edge", "left").na.fill(0)
 
 
-def _orphan_counts(left, right, keys) -> DataFrame:
-    return orphan_audit(left, right, keys).agg(
+def orphans_by_edge(tables: Tables) -> DataFrame:
+    return _by_edge(
+        tables,
+        orphan_audit,
         F.count(F.lit(1)).alias("orphan_keys"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("orphan_rows"),
+        F.sum("n").alias("orphan_rows"),
     )
 
 
-def orphans_by_edge(tables: Tables) -> DataFrame:
-    return _per_edge(tables, _orphan_counts)
-
-
 def fanout_by_edge(tables: Tables) -> DataFrame:
-    return _per_edge(tables, fanout_audit)
+    return _by_edge(
+        tables,
+        matched_keys,
+        F.max("n").alias("max_matches"),
+        F.count_if(F.col("n") > 1).alias("keys_with_several"),
+    )

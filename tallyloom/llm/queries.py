@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, packing, sharding, token_store
+from tallyloom.llm import bpe, near_embeddings, packing, sharding, token_store, topk
 from tallyloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,11 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"))
@@ -40,6 +45,11 @@ def op4_vector_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_near_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-store")

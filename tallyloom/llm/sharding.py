@@ -24,14 +24,18 @@ DIMENSIONS = ("bytes", "tokens", "rows")
 def place_vectors(vectors: np.ndarray, shards: int) -> np.ndarray:
     """The shard of each vector: largest first, always where the dot product with the residual capacity is highest.
 
-    Each dimension counts as a part of its own total, so the capacities are equal. Ties go to the lowest shard.
+    Each dimension counts as a part of its own total, so the capacities are equal. The first dimension is the law: among the
+    shards that still have room for it the product decides; where none has, the one with the most room takes it. Ties go to the
+    lowest shard.
     """
     totals = np.maximum(vectors.sum(axis=0, dtype=np.float64), 1)
     parts = vectors / totals
     residual = np.full((shards, vectors.shape[1]), 1 / shards)
     out = np.empty(len(vectors), dtype=np.int64)
     for i in np.argsort(-parts.max(axis=1), kind="stable"):
-        out[i] = at = int(np.argmax(residual @ parts[i]))
+        fits = residual[:, 0] >= parts[i, 0]
+        merit = np.where(fits, residual @ parts[i], -np.inf) if fits.any() else residual[:, 0]
+        out[i] = at = int(np.argmax(merit))
         residual[at] -= parts[i]
     return out
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, near_embeddings, packing, sharding, token_store, topk
+from tallyloom.llm import bpe, near_embeddings, ngram_join, packing, sharding, token_store, topk
 from tallyloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +50,11 @@ def op5_near_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_classes(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 @query
 def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-store")

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, near_embeddings, ngram_join, packing, sharding, token_store, topk
+from tallyloom.llm import bpe, html_crf, language_id, near_embeddings, ngram_join, packing, quality_crf, sharding, token_store, topk
+from tallyloom.llm.html_blocks import visible_text
 from tallyloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +51,32 @@ def op5_near_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op6_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_crf.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's language; the text model is fitted on a sample of ``documents``."""
+    model = language_id.train(table(spark, sf_dir, "documents"))
+    host = language_id.host_of(F.col("url"))
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id", "url", "html", language_id.declared_in(F.col("html")).alias("declared"), language_id.suffix_of(F.col("url")).alias("suffix"),
+        host.alias("host"), language_id.parent_of(host).alias("parent"),
+    )
+    found = language_id.identify(pages, model, "page_id", "html", "declared", "suffix", "host", "parent", text_of=visible_text)
+    return found.select(
+        F.col("key").alias("page_id"), "declared", "suffix", "host", "language", F.round("posterior", 6).alias("posterior"), "text_language", "accepted"
+    )
+
+
+@query
+def op8_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_crf.score_documents(docs, quality_crf.train(docs, table(spark, sf_dir, "labels")))
+
+
 @query
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_classes(table(spark, sf_dir, "documents"), words=4, percent=85)

@@ -8,9 +8,10 @@ from dataclasses import dataclass, field
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|"
-    r"<(?P<close>/?)(?P<name>[A-Za-z][A-Za-z0-9:-]*)(?P<attributes>(?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>|(?P<text>[^<]+|<)",
+    r"<(?P<close>/?)(?P<name>[A-Za-z][A-Za-z0-9:-]*)(?P<attributes>(?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>|(?P<text>[^<]+|<(?![A-Za-z/!?]))",
     re.DOTALL,
 )
+_LOOSE = re.compile(r"<(?P<close>/?)(?P<name>[A-Za-z][A-Za-z0-9:-]*)(?P<attributes>[^>]*)>(?P<text>(?!))?|</?[^>]*>", re.DOTALL)
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 _WORD = re.compile(r"[a-z]+")
 
@@ -111,7 +112,7 @@ def leaf_blocks(page: str | None) -> list[LeafBlock]:
 
     size = len(page)
     while at < size:
-        match = _TOKEN.match(page, at)
+        match = _TOKEN.match(page, at) or _LOOSE.match(page, at)  # the latter: a quote that never ends
         if match is None:  # a tag that never ends
             break
         at = match.end()
@@ -128,12 +129,10 @@ def leaf_blocks(page: str | None) -> list[LeafBlock]:
             depth = len(stack) - 1
             while depth and stack[depth][0] != name:
                 depth -= 1
-            if name in BLOCK and not unseen:
+            if (depth or name == "p") and name in BLOCK and not unseen:
                 flush()
             if depth:
                 leave(depth)
-            elif name == "p" and not unseen:
-                flush()
             continue
         if name in BLOCK and not unseen:
             flush()

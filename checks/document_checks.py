@@ -316,8 +316,7 @@ def _(spark, sf):
 cte(
     "emb_chunks",
     f"""SELECT vec_id AS chunk_id, 'file' || label AS file_name, 'doc://' || vec_id AS source_url,
-  {TYPED.format("label")} AS doc_type, text AS chunk_text, embedding
-FROM embeddings LEFT JOIN documents ON vec_id = doc_id""",
+  {TYPED.format("label")} AS doc_type, 'entry ' || vec_id AS chunk_text, embedding FROM embeddings""",
 )
 _NAMES = ", ".join(f"'{name}'" for name in adapters.PRODUCTS)
 cte(
@@ -337,21 +336,14 @@ FROM label_questions q CROSS JOIN emb_chunks c""",
 )
 
 
-def _hits(k: int, condition: str = "true") -> str:
+def _hits(k: int | str, condition: str = "true", source: str = "scored") -> str:
     return f"""SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id)
-  AS rank FROM scored WHERE {condition} QUALIFY rank <= {k}"""
+  AS rank FROM {source} WHERE {condition} QUALIFY rank <= {k}"""
 
 
-cte("hits_spec_6", _hits(6, "doc_type = 'product_spec'"))
 cte("hits_discount_5", _hits(5, "doc_type = 'discount_policy'"))
-cte("hits_any_3", _hits(3))
 cte("hits_any_5", _hits(5))
 cte("hits_any_8", _hits(8))
-cte("hits_typed_5", _hits(5, "lower(asked_type) = 'all' OR asked_type = doc_type"))
-
-_HIT_LINE = "query_id, rank, product_keyword, asked_type, chunk_text"
-for _name in ("hits_spec_6", "hits_discount_5", "hits_any_5", "hits_typed_5"):
-    cte(f"lines_{_name}", _lines(_name, "chunk_text", _HIT_LINE))
 
 
 def emb(spark, sf):
@@ -362,11 +354,6 @@ def questions(spark, sf):
     return adapters.label_questions(spark, sf)
 
 
-def given_vector(asked):
-    """The test questions bring their vectors along."""
-    return asked
-
-
 def _first_vector(spark, sf):
     return questions(spark, sf).orderBy("query_id").select("qvec").first()[0]
 
@@ -390,50 +377,247 @@ def _(spark, sf):
     return v.similarity_topk_batch(emb(spark, sf), questions(spark, sf), 8)
 
 
-@check("o6_nearest_in_passes", f"SELECT query_id, {_HIT} FROM hits_any_5")
-def _(spark, sf):
-    return v.similarity_topk_batch(emb(spark, sf), questions(spark, sf), 5, questions_per_pass=4)
+# Every other chunk is cut to 32 numbers, and every third question; top_k 0 and NULL mean five.
+cte(
+    "mixed_chunks",
+    """SELECT * REPLACE (CASE WHEN chunk_id % 2 = 0 THEN embedding[:32] ELSE embedding END AS embedding)
+FROM emb_chunks""",
+)
+cte(
+    "mixed_questions",
+    """SELECT query_id, CASE WHEN query_id % 3 = 0 THEN qvec[:32] ELSE qvec END AS qvec,
+  list_extract([0, 3, NULL, 7], query_id % 4 + 1) AS top_k FROM label_questions""",
+)
+cte(
+    "mixed_scored",
+    """SELECT q.query_id, coalesce(nullif(top_k, 0), 5) AS top_k, c.* EXCLUDE (embedding),
+  round(list_cosine_similarity(c.embedding::double[], q.qvec::double[]), 6) AS score
+FROM mixed_questions q JOIN mixed_chunks c ON len(c.embedding) = len(q.qvec)""",
+)
 
 
-@check("v5_nearest_approximate")
+@check(
+    "v4_mixed_lengths_and_limits",
+    f"SELECT query_id, {_HIT} FROM ({_hits('top_k', source='mixed_scored')})",
+)
 def _(spark, sf):
-    corpus = emb(spark, sf)
-    lsh = v.fit_lsh(corpus, 64)
-    return v.similarity_topk_lsh(v.lsh_index(corpus, lsh), lsh, questions(spark, sf))
+    def cut(column, when):
+        return F.expr(f"CASE WHEN {when} THEN slice({column}, 1, 32) ELSE {column} END")
+
+    mixed = emb(spark, sf).withColumn("embedding", cut("embedding", "chunk_id % 2 = 0"))
+    asked = questions(spark, sf).select(
+        F.col("query_id").cast("smallint").alias("query_id"),
+        cut("qvec", "query_id % 3 = 0").alias("qvec"),
+        F.expr("element_at(array(0, 3, NULL, 7), query_id % 4 + 1)").alias("top_k"),
+    )
+    return v.similarity_topk_batch(mixed, asked)
 
 
-@check("v1_embed_documents")
+@check(
+    "o6_nearest_in_passes",
+    """SELECT query_id, rank, score, chunk_id FROM
+  (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank FROM
+    (SELECT q.vec_id AS query_id, c.chunk_id,
+       round(list_cosine_similarity(c.embedding::double[], q.embedding::double[]), 6) AS score
+     FROM embeddings q CROSS JOIN emb_chunks c)) WHERE rank <= 5""",
+)
 def _(spark, sf):
-    rows = _doc_rows(spark, sf)
-    vectors = v.embed(rows, "chunk_text", v.fit_embedder(rows, "chunk_text", 256))
-    return vectors.select("doc_id", "embedding")
+    # every chunk asks for its nearest
+    asked = adapters.table(spark, sf, "embeddings").select(
+        F.col("vec_id").alias("query_id"), F.col("embedding").alias("qvec")
+    )
+    hits = v.similarity_topk_batch(emb(spark, sf), asked, 5)
+    return hits.select("query_id", "rank", "score", "chunk_id")
+
+
+# The cell index: the 16 chunks of smallest id give the cells; the four nearest are looked into, and
+# more until there are as many chunks of the type asked for as wanted.
+_CELLS, _PROBED = 16, 4
+cte(
+    "centers",
+    f"""SELECT row_number() OVER (ORDER BY vec_id) - 1 AS cell, embedding AS center
+FROM (FROM embeddings ORDER BY vec_id LIMIT {_CELLS})""",
+)
+
+
+def _to_center(vector: str) -> str:
+    return f"round(list_cosine_similarity({vector}::double[], center::double[]), 6)"
+
+
+cte(
+    "celled",
+    f"""SELECT c.*, cell FROM emb_chunks c CROSS JOIN centers
+QUALIFY row_number() OVER (PARTITION BY chunk_id ORDER BY {_to_center("embedding")} DESC, cell) = 1""",
+)
+cte("cell_sizes", "SELECT cell, doc_type AS held_type, count(*) AS held FROM celled GROUP BY ALL")
+cte(
+    "probes",
+    f"""SELECT * FROM (SELECT *, coalesce(sum(fitting) OVER (PARTITION BY query_id ORDER BY place
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS so_far FROM
+  (SELECT query_id, qvec, asked_type, cell, place, coalesce(sum(held) FILTER
+     (WHERE asked_type = 'All' OR held_type = asked_type), 0) AS fitting FROM
+    (SELECT query_id, qvec, doc_type AS asked_type, cell, row_number() OVER
+       (PARTITION BY query_id ORDER BY {_to_center("qvec")} DESC, cell) AS place
+     FROM label_questions CROSS JOIN centers) LEFT JOIN cell_sizes USING (cell) GROUP BY ALL))
+WHERE place <= {_PROBED} OR so_far < 7""",
+)
+cte(
+    "cell_scored",
+    """SELECT p.query_id, c.* EXCLUDE (embedding, cell),
+  round(list_cosine_similarity(c.embedding::double[], p.qvec::double[]), 6) AS score
+FROM probes p JOIN celled c USING (cell) WHERE asked_type = 'All' OR asked_type = doc_type""",
+)
 
 
 @check(
-    "v1_embedding_sizes",
-    """SELECT CASE WHEN chunk_text IS NULL OR trim(chunk_text) = '' THEN 0 ELSE 64 END AS dim,
-  count(*) AS n FROM emb_chunks GROUP BY ALL""",
+    "v5_nearest_approximate",
+    f"SELECT query_id, {_HIT} FROM ({_hits(7, source='cell_scored')})",
 )
 def _(spark, sf):
-    rows = emb(spark, sf).drop("embedding")
-    model = v.fit_embedder(rows, "chunk_text", 64)
-    return embedding_audit(v.embed(rows, "chunk_text", model))
+    index = v.cell_index(emb(spark, sf), 64, _CELLS, _PROBED)
+    asked = questions(spark, sf).select("query_id", "qvec", F.col("doc_type").alias("doc_filter"))
+    return v.search_cells(index, asked, 7)
+
 
+def _recall(exact, near, floor=0.9):
+    """Whether ``near`` has at least that part of the exact hits."""
+    ids = ["query_id", "chunk_id"]
+    both = exact.select(*ids).join(near.select(*ids).withColumn("hit", F.lit(1)), ids, "left")
+    return both.agg((F.count("hit") >= floor * F.count("*")).alias("enough"))
 
-@check("v1_text_search")
+
+@check("v5_recall_floor", "SELECT true AS enough")
 def _(spark, sf):
-    model_dim = 512
-    found = chunks(spark, sf)
-    model = v.fit_embedder(found, "chunk_text", model_dim)
-    corpus = v.embed(found, "chunk_text", model)
-    asked = adapters.table(spark, sf, "benchmark").select(
-        F.col("item_id").alias("query_id"), F.col("text").alias("query_text")
+    # the default index against the exact search, every 20th chunk asking
+    held = emb(spark, sf)
+    asked = held.where("chunk_id % 20 = 0").select(
+        F.col("chunk_id").alias("query_id"), F.col("embedding").alias("qvec")
+    )
+    near = v.search_cells(v.cell_index(held, 64), asked, 10)
+    return _recall(v.similarity_topk_batch(held, asked, 10), near)
+
+
+# --- embedding and retrieval -------------------------------------------------------------------
+
+_DIM = 128
+cte(
+    "corpus",
+    f"""SELECT doc_id AS chunk_id, source AS file_name, 'doc://' || doc_id AS source_url,
+  {TYPED.format("doc_id")} AS doc_type, text || chr(10) || {adapters.CORPUS_LINE} AS chunk_text
+FROM documents""",
+)
+
+
+def _term_counts(key: str, text: str, source: str) -> str:
+    return f"""SELECT {key}, ('0x' || substr(md5(word), 1, 8))::bigint % {_DIM} AS bucket,
+  count(*) AS tf FROM (SELECT {key}, unnest(regexp_extract_all(lower({text}), '[\\p{{L}}\\p{{N}}]+'))
+    AS word FROM {source}) GROUP BY ALL"""
+
+
+def _unit_terms(key: str, counts: str) -> str:
+    """Weights at unit length, in single precision as they are stored."""
+    return f"""SELECT {key}, bucket,
+  cast(w / sqrt(sum(w * w) OVER (PARTITION BY {key})) AS float)::double AS u FROM
+  (SELECT {key}, bucket, tf * coalesce(idf, ln(n + 1)) AS w
+   FROM {counts} LEFT JOIN term_weights USING (bucket) CROSS JOIN corpus_size)
+QUALIFY sum(w * w) OVER (PARTITION BY {key}) > 0"""
+
+
+cte("corpus_terms", _term_counts("chunk_id", "chunk_text", "corpus"))
+cte("corpus_size", "SELECT count(*) AS n FROM corpus")
+cte(
+    "term_weights",
+    """SELECT bucket, ln((SELECT n + 1 FROM corpus_size) / (count(*) + 1)) AS idf
+FROM corpus_terms GROUP BY bucket""",
+)
+cte("corpus_units", _unit_terms("chunk_id", "corpus_terms"))
+
+
+def _retrieval(name: str, asked: str, question: str) -> None:
+    """scored_<name>: every question of ``asked`` with every chunk that has a vector."""
+    texts = f"(SELECT query_id, {question} AS question FROM {asked})"
+    cte(f"terms_{name}", _term_counts("query_id", "question", texts))
+    cte(f"units_{name}", _unit_terms("query_id", f"terms_{name}"))
+    cte(
+        f"scored_{name}",
+        f"""SELECT a.* EXCLUDE (doc_type), a.doc_type AS asked_type, c.*,
+  coalesce(round(dot / (qn * cn), 6), 0) AS score
+FROM (SELECT query_id, sqrt(sum(u * u)) AS qn FROM units_{name} GROUP BY query_id)
+CROSS JOIN (SELECT chunk_id, sqrt(sum(u * u)) AS cn FROM corpus_units GROUP BY chunk_id)
+LEFT JOIN (SELECT q.query_id, c.chunk_id, sum(q.u * c.u) AS dot
+  FROM units_{name} q JOIN corpus_units c USING (bucket) GROUP BY ALL) USING (query_id, chunk_id)
+JOIN {asked} a USING (query_id) JOIN corpus c USING (chunk_id)""",
     )
-    return answers.search_docs(corpus, asked, answers.embed_with(model))
 
 
-_JSON_HIT = """to_json({chunk_id: cast(chunk_id AS varchar), file_name: file_name,
-  doc_type: doc_type, chunk_text: chunk_text, source_url: source_url})"""
+def _prefixed(kind: str, arguments: str) -> str:
+    return f"'{words.QUESTION_PREFIXES[kind]}' || {arguments}"
+
+
+for _kind in (
+    "warranty", "specs", "certifications", "profile", "product_documents", "product_table",
+):
+    _retrieval(_kind, "label_questions", _prefixed(_kind, "product_keyword"))
+for _kind in ("discount", "discount_table"):
+    _about = "category_name || ' region ' || region_name"
+    _retrieval(_kind, "label_questions", _prefixed(_kind, _about))
+_retrieval("search", "label_questions", "query_text")
+cte(
+    "benchmark_questions",
+    """SELECT item_id AS query_id, text AS query_text, NULL AS product_keyword, NULL AS doc_type
+FROM benchmark""",
+)
+_retrieval("benchmark", "benchmark_questions", "query_text")
+
+_SPEC, _DISCOUNT = "doc_type = 'product_spec'", "doc_type = 'discount_policy'"
+_TYPED = "lower(asked_type) = 'all' OR asked_type = doc_type"
+_HIT_LINE = "query_id, rank, product_keyword, asked_type, chunk_text"
+for _name, _k, _condition in (
+    ("warranty", 6, _SPEC), ("specs", 6, _SPEC), ("certifications", 6, _SPEC),
+    ("profile", 6, _SPEC), ("product_documents", 8, "true"), ("product_table", 8, "true"),
+    ("discount", 5, _DISCOUNT), ("discount_table", 5, _DISCOUNT), ("search", 5, "true"),
+    ("benchmark", 5, "true"),
+):
+    cte(f"hits_{_name}", _hits(_k, _condition, f"scored_{_name}"))
+    cte(f"lines_{_name}", _lines(f"hits_{_name}", "chunk_text", _HIT_LINE))
+cte("hits_typed", _hits(5, _TYPED, "scored_search"))
+cte("lines_typed", _lines("hits_typed", "chunk_text", _HIT_LINE))
+cte("hits_digest", _hits(3, "true", "scored_search"))
+
+
+def corpus(spark, sf):
+    """The answers' corpus with vectors, and the embedder of its questions."""
+    rows = adapters.answer_corpus(spark, sf)
+    model = v.fit_embedder(rows, "chunk_text", _DIM)
+    return v.embed(rows, "chunk_text", model), answers.embed_with(model)
+
+
+def _answered(ask, spark, sf, **options):
+    """The answers to the test questions, their texts embedded as the corpus is."""
+    held, embedder = corpus(spark, sf)
+    return ask(held, questions(spark, sf).drop("qvec"), embedder, **options)
+
+
+_BLANK = "coalesce(trim(chunk_text), '') = ''"
+
+
+@check(
+    "v1_embed_documents",
+    f"""SELECT chunk_id, list(round(coalesce(u, 0), 5) ORDER BY bucket) AS embedding FROM corpus
+CROSS JOIN (SELECT unnest(range({_DIM})) AS bucket) LEFT JOIN corpus_units USING (chunk_id, bucket)
+WHERE NOT {_BLANK} GROUP BY chunk_id UNION ALL SELECT chunk_id, [] FROM corpus WHERE {_BLANK}""",
+)
+def _(spark, sf):
+    rounded = F.transform("embedding", lambda x: F.round(x.cast("double"), 5))
+    return corpus(spark, sf)[0].select("chunk_id", rounded.alias("embedding"))
+
+
+@check(
+    "v1_embedding_sizes",
+    f"SELECT CASE WHEN {_BLANK} THEN 0 ELSE {_DIM} END AS dim, count(*) AS n FROM corpus GROUP BY ALL",
+)
+def _(spark, sf):
+    return embedding_audit(corpus(spark, sf)[0])
 
 
 @check(
@@ -487,7 +671,7 @@ def _product_sql(kind: answers.ProductAnswer) -> str:
 FROM label_questions LEFT JOIN
   (SELECT query_id, string_agg('• ' || line, {_NL} ORDER BY rank, line_no) AS body FROM
     (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rank, line_no) AS position FROM
-      (SELECT * FROM lines_hits_spec_6 WHERE length(key) > 5
+      (SELECT * FROM lines_{kind.prefix} WHERE length(key) > 5
          AND NOT {_has("lowered", kind.skip)} AND NOT ({_foreign(kind.markers)})
          AND {_has("lowered", kind.keywords)}
        QUALIFY row_number() OVER (PARTITION BY query_id, key ORDER BY rank, line_no) = 1))
@@ -497,8 +681,7 @@ FROM label_questions LEFT JOIN
 def _product_check(key, ask, kind):
     @check(key, _product_sql(kind))
     def _(spark, sf):
-        rows = ask(emb(spark, sf), questions(spark, sf), given_vector)
-        return rows.select("query_id", "product_keyword", "result")
+        return _answered(ask, spark, sf).select("query_id", "product_keyword", "result")
 
 
 _product_check("x1_get_warranty", answers.get_warranty, answers.WARRANTY)
@@ -514,9 +697,7 @@ FOUND_ANSWER = answers.ProductAnswer(
 
 @check("t10_render_answer", _product_sql(FOUND_ANSWER))
 def _(spark, sf):
-    rows = answers.product_answer(
-        emb(spark, sf), questions(spark, sf), given_vector, FOUND_ANSWER
-    )
+    rows = _answered(answers.product_answer, spark, sf, kind=FOUND_ANSWER)
     return rows.select("query_id", "product_keyword", "result")
 
 
@@ -536,7 +717,7 @@ FROM label_questions LEFT JOIN
         OVER (PARTITION BY query_id, section ORDER BY rank, line_no) END AS position FROM
       (SELECT *, length(key) > 5 AND row_number()
           OVER (PARTITION BY query_id, section, key ORDER BY rank, line_no) = 1 AS fresh FROM
-        (SELECT *, {_sectioned()} AS section FROM lines_hits_spec_6
+        (SELECT *, {_sectioned()} AS section FROM lines_profile
          WHERE NOT {_has("lowered", words.SPEC_METADATA_WORDS)}
            AND NOT ({_foreign(words.OTHER_PRODUCT_MARKERS)}))
        WHERE section IS NOT NULL))
@@ -545,7 +726,7 @@ FROM label_questions LEFT JOIN
 
 @check("x4_get_product_profile", _profile_sql())
 def _(spark, sf):
-    rows = answers.get_product_profile(emb(spark, sf), questions(spark, sf), given_vector)
+    rows = _answered(answers.get_product_profile, spark, sf)
     return rows.select("query_id", "product_keyword", "result")
 
 
@@ -563,23 +744,50 @@ def _search_body_sql(source: str) -> str:
     "x5_search_docs",
     f"""SELECT query_id, coalesce('Search results for ''' || query_text || ''':' || {_NL} || {_NL}
     || body, 'No matching product documentation found.') AS result
-FROM label_questions LEFT JOIN ({_search_body_sql("lines_hits_any_5")}) USING (query_id)""",
+FROM label_questions LEFT JOIN ({_search_body_sql("lines_search")}) USING (query_id)""",
 )
 def _(spark, sf):
-    rows = answers.search_docs(emb(spark, sf), questions(spark, sf), given_vector)
+    rows = _answered(answers.search_docs, spark, sf)
     return rows.select("query_id", "result")
 
 
+@check(
+    "v1_text_search",
+    f"""SELECT query_id, query_text, coalesce('Search results for ''' || query_text || ''':' || {_NL}
+    || {_NL} || body, 'No matching product documentation found.') AS result
+FROM benchmark_questions LEFT JOIN ({_search_body_sql("lines_benchmark")}) USING (query_id)""",
+)
+def _(spark, sf):
+    held, embedder = corpus(spark, sf)
+    asked = adapters.table(spark, sf, "benchmark").select(
+        F.col("item_id").alias("query_id"), F.col("text").alias("query_text")
+    )
+    return answers.search_docs(held, asked, embedder).select("query_id", "query_text", "result")
+
+
+@check("x5_search_docs_by_index", "SELECT true AS enough")
+def _(spark, sf):
+    # the answers' retrieval over a cell index against the exact search
+    held, embedder = corpus(spark, sf)
+    asked = questions(spark, sf).drop("qvec")
+    index = v.cell_index(held, _DIM)
+    exact, near = (
+        answers.retrieve(c, asked, embedder, F.col("query_text"), 5, F.col("doc_type"))
+        for c in (held, index)
+    )
+    return _recall(exact, near)
+
+
 @check(
     "x6_search_by_doc_type",
     f"""SELECT query_id, coalesce(CASE doc_type WHEN 'product_spec' THEN 'Product Specification'
     WHEN 'discount_policy' THEN 'Discount Policy' ELSE 'Documentation' END || ' results for '''
     || query_text || ''':' || {_NL} || {_NL} || body,
     'No ' || doc_type || ' documentation found for: ''' || query_text || '''.') AS result
-FROM label_questions LEFT JOIN ({_search_body_sql("lines_hits_typed_5")}) USING (query_id)""",
+FROM label_questions LEFT JOIN ({_search_body_sql("lines_typed")}) USING (query_id)""",
 )
 def _(spark, sf):
-    rows = answers.search_by_doc_type(emb(spark, sf), questions(spark, sf), given_vector)
+    rows = _answered(answers.search_by_doc_type, spark, sf)
     return rows.select("query_id", "result")
 
 
@@ -594,14 +802,14 @@ _ABOUT = "category_name || {0} || region_name || "
 FROM label_questions LEFT JOIN
   (SELECT query_id, string_agg('* ' || line, {_NL} ORDER BY rank, line_no) AS body FROM
     (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rank, line_no) AS position FROM
-      (SELECT * FROM lines_hits_discount_5
+      (SELECT * FROM lines_discount
        WHERE NOT {_has("lowered", words.DISCOUNT_METADATA_WORDS)}
          AND {_has("lowered", words.DISCOUNT_WORDS)}
        QUALIFY row_number() OVER (PARTITION BY query_id, key ORDER BY rank, line_no) = 1))
    WHERE position <= 20 GROUP BY query_id) USING (query_id)""",
 )
 def _(spark, sf):
-    rows = answers.get_discount(emb(spark, sf), questions(spark, sf), given_vector)
+    rows = _answered(answers.get_discount, spark, sf)
     return rows.select("query_id", "result")
 
 
@@ -613,13 +821,13 @@ _CHUNK_ROW = (
 def _table_check(key, ask, source):
     @check(key, f"SELECT {_CHUNK_ROW} FROM {source}")
     def _(spark, sf):
-        return ask(emb(spark, sf), questions(spark, sf), given_vector)
+        return _answered(ask, spark, sf)
 
 
-_table_check("x8_search_table", answers.search_table, "hits_any_5")
-_table_check("x8_search_by_doc_type_table", answers.search_by_doc_type_table, "hits_typed_5")
-_table_check("x8_product_table", answers.product_table, "hits_any_8")
-_table_check("x8_discount_table", answers.discount_table, "hits_discount_5")
+_table_check("x8_search_table", answers.search_table, "hits_search")
+_table_check("x8_search_by_doc_type_table", answers.search_by_doc_type_table, "hits_typed")
+_table_check("x8_product_table", answers.product_table, "hits_product_table")
+_table_check("x8_discount_table", answers.discount_table, "hits_discount_table")
 
 
 def _digest_sql(source: str, title: str, text: str = "chunk_text") -> str:
@@ -631,15 +839,14 @@ def _digest_sql(source: str, title: str, text: str = "chunk_text") -> str:
 def _digest_check(key, ask, sql):
     @check(key, sql)
     def _(spark, sf):
-        rows = ask(emb(spark, sf), questions(spark, sf), given_vector)
-        return rows.select("query_id", "result")
+        return _answered(ask, spark, sf).select("query_id", "result")
 
 
 _digest_check(
     "t11_source_digest",
     answers.source_digest,
     _digest_sql(
-        "hits_any_3",
+        "hits_digest",
         "''",
         f"('Source: ' || file_name || ' (' || doc_type || ')' || {_NL} || coalesce(chunk_text, ''))",
     ),
@@ -648,20 +855,20 @@ _digest_check(
     "t11_product_documents",
     answers.product_documents,
     _digest_sql(
-        "hits_any_8",
+        "hits_product_documents",
         f"'Product documentation for ''' || product_keyword || ''':' || {_NL} || {_NL}",
     ),
 )
 _digest_check(
     "t11_relevant_documents",
     answers.relevant_documents,
-    _digest_sql("hits_any_5", f"'Relevant product documentation:' || {_NL} || {_NL}"),
+    _digest_sql("hits_search", f"'Relevant product documentation:' || {_NL} || {_NL}"),
 )
 _digest_check(
     "t11_relevant_documents_by_type",
     answers.relevant_documents_by_type,
     _digest_sql(
-        "hits_typed_5",
+        "hits_typed",
         "'Relevant ' || CASE WHEN doc_type = 'product_spec' THEN 'product specification'"
         f" ELSE 'discount policy' END || ' documentation:' || {_NL} || {_NL}",
     ),
@@ -670,7 +877,7 @@ _digest_check(
     "t11_discount_documents",
     answers.discount_documents,
     _digest_sql(
-        "hits_discount_5",
+        "hits_discount",
         "'Discount policy for ' || category_name || ' in ' || region_name || ' region:'"
         f" || {_NL} || {_NL}",
     ),

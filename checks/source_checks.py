@@ -63,8 +63,8 @@ def _(spark, sf):
 
 @check(
     "s6_ingest_dimension",
-    """SELECT user_id AS member_id, event_id, epoch_ms(ts) + 5 * 3600 * 1000 AS created_ms FROM events
-QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY epoch_ms(ts) DESC, event_id) = 1""",
+    """SELECT user_id AS member_id, event_id, epoch_us(ts) // 1000 + 5 * 3600 * 1000 AS created_ms FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY epoch_us(ts) // 1000 DESC, event_id) = 1""",
 )
 def _(spark, sf):
     stamped = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS"), F.lit(" -0500"))

@@ -1,6 +1,6 @@
 """Answers to batches of questions: retrieve, clean, select lines, drop repeats, write text.
 
-``emb`` holds chunks with vectors. ``questions`` holds ``query_id`` and the question's arguments.
+``emb`` holds chunks with vectors, as a frame or as a cell index. ``questions`` holds ``query_id`` and the question's arguments.
 ``embedder`` adds ``qvec`` to a frame from its column ``question``; ``embed_with`` makes one from
 a fitted model. Every function returns one row per question: its columns and ``result``.
 """
@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,11 +26,12 @@ from tallyloom.operators.text import (
     join_lines,
 )
 from tallyloom.operators.vectors import (
+    TermModel,
     embed,
     expand_query,
     hits_to_json,
     json_to_hits,
-    similarity_topk_batch,
+    nearest_chunks,
 )
 
 Embedder = Callable[[DataFrame], DataFrame]
@@ -40,7 +40,7 @@ HIT_BREAK = "\n\n---\n\n"
 _PLACE = ["rank", "line_no"]
 
 
-def embed_with(model: PipelineModel) -> Embedder:
+def embed_with(model: TermModel) -> Embedder:
     """Vectors for question texts from the model the chunks were embedded with."""
     return lambda questions: embed(questions, "question", model, "qvec")
 
@@ -56,7 +56,7 @@ def retrieve(
     """The ``k`` best chunks per question: query_id, rank, score and the chunk's columns."""
     wanted = doc_type if isinstance(doc_type, Column) else F.lit(doc_type).cast("string")
     asked = embedder(questions.withColumn("question", question).withColumn("doc_filter", wanted))
-    return similarity_topk_batch(emb, asked.select("query_id", "qvec", "doc_filter"), k)
+    return nearest_chunks(emb, asked.select("query_id", "qvec", "doc_filter"), k)
 
 
 def _quoted(name: str) -> Column:

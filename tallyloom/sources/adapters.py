@@ -256,20 +256,43 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def embedded_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chunks with stored vectors; a chunk's text is the document of the same number."""
-    return (
-        table(spark, sf_dir, "embeddings")
-        .join(table(spark, sf_dir, "documents"), F.expr("vec_id = doc_id"), "left")
-        .select(
-            F.col("vec_id").alias("chunk_id"),
-            F.expr("concat('file', label)").alias("file_name"),
-            F.expr("concat('doc://', vec_id)").alias("source_url"),
-            F.expr("CASE WHEN label % 2 = 0 THEN 'product_spec' ELSE 'discount_policy' END").alias(
-                "doc_type"
-            ),
-            F.col("text").alias("chunk_text"),
-            "embedding",
-        )
+    """The stored vectors as chunks, all of them."""
+    return table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("chunk_id"),
+        F.expr("concat('file', label)").alias("file_name"),
+        F.expr("concat('doc://', vec_id)").alias("source_url"),
+        F.expr("CASE WHEN label % 2 = 0 THEN 'product_spec' ELSE 'discount_policy' END").alias(
+            "doc_type"
+        ),
+        F.expr("concat('entry ', vec_id)").alias("chunk_text"),
+        "embedding",
+    )
+
+
+# What the last line of each document of the answers' corpus says of a product or a discount, in SQL
+# for both engines. None speaks of the tee or of an item without a name.
+_PRODUCT = """CASE (doc_id - doc_id % 8) % 48 WHEN 0 THEN 'Laptop 14' WHEN 8 THEN '5G Smartphone'
+  WHEN 16 THEN 'Drillmaster Power Drill' WHEN 24 THEN 'Kitchen Set' WHEN 32 THEN 'Classic Jeans'
+  ELSE 'Hand Tool Set' END"""
+CORPUS_LINE = f"""CASE doc_id % 8
+  WHEN 0 THEN concat({_PRODUCT}, ' warranty of ', doc_id % 5 + 1, ' years with support and replacement')
+  WHEN 2 THEN concat({_PRODUCT}, ' certifications: meets ISO standard ', doc_id % 50)
+  WHEN 4 THEN concat({_PRODUCT}, ' technical specifications: memory of ', doc_id % 64, ' and battery')
+  WHEN 6 THEN concat('Notes on ', {_PRODUCT})
+  ELSE concat('Category ', doc_id % 9, ' volume discount of ', doc_id % 30,
+    ' percent in region Region ', doc_id % 9) END"""
+
+
+def answer_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks of the answers: every document, its text followed by a line on a product or a discount."""
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("chunk_id"),
+        F.col("source").alias("file_name"),
+        F.expr("concat('doc://', doc_id)").alias("source_url"),
+        F.expr("CASE WHEN doc_id % 2 = 0 THEN 'product_spec' ELSE 'discount_policy' END").alias(
+            "doc_type"
+        ),
+        F.concat("text", F.lit("\n"), F.expr(CORPUS_LINE)).alias("chunk_text"),
     )
 
 

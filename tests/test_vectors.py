@@ -56,11 +56,22 @@ def brute_force(corpus, questions, k):
     return found
 
 
-@pytest.mark.parametrize("per_pass", [4096, 2])
-def test_batch_equals_brute_force_with_ties_and_filters(emb, corpus, questions, per_pass):
-    hits = v.similarity_topk_batch(emb, questions, 6, questions_per_pass=per_pass)
-    got = {(r.query_id, r["rank"], r.chunk_id) for r in hits.collect()}
-    assert got == brute_force(corpus, questions, 6)
+def test_batch_equals_brute_force_with_ties_and_filters(emb, corpus, questions, monkeypatch):
+    for per_tile in (2048, 2):
+        monkeypatch.setattr(v, "QUESTIONS_PER_TILE", per_tile)
+        hits = v.similarity_topk_batch(emb, questions, 6)
+        got = {(r.query_id, r["rank"], r.chunk_id) for r in hits.collect()}
+        assert got == brute_force(corpus, questions, 6)
+
+
+def test_a_question_of_another_length_costs_only_its_own_hits(spark, emb, corpus):
+    data = [(i, corpus[i].astype(float).tolist(), k) for i, k in enumerate([None, 0, 3, 7])]
+    data += [(8, [1.0] * (2 * DIM), 5), (9, [1.0], 5), (10, [], 5), (11, None, 5), (12, [0.0] * DIM, 5)]
+    for kind in ("smallint", "decimal(9,0)", "string"):
+        asked = spark.createDataFrame(data, "query_id int, qvec array<double>, top_k int")
+        asked = asked.withColumn("query_id", F.col("query_id").cast(kind))
+        counts = v.similarity_topk_batch(emb, asked).groupBy("query_id").count().collect()
+        assert {int(r.query_id): r["count"] for r in counts} == {0: 5, 1: 5, 2: 3, 3: 7, 9: 1}
 
 
 def test_single_vector_and_default_k(emb, corpus):
@@ -70,15 +81,26 @@ def test_single_vector_and_default_k(emb, corpus):
     assert v.similarity_topk(emb, corpus[7], 500).count() == 400
 
 
-def test_lsh_recall_against_exact(emb, questions):
-    lsh = v.fit_lsh(emb, DIM)
-    index = v.lsh_index(emb, lsh)
+def test_cell_index_with_all_cells_is_exact(emb, corpus, questions):
+    index = v.cell_index(emb, DIM, cells=8, probed=8)
+    assert index.rows.count() == len(corpus)  # each chunk once
+    got = {(r.query_id, r["rank"], r.chunk_id) for r in v.search_cells(index, questions, 6).collect()}
+    assert got == brute_force(corpus, questions, 6)
+
+
+def test_cell_index_looks_on_until_it_has_enough(spark, emb, questions):
+    index = v.cell_index(emb, DIM, cells=16, probed=1)
+    near = v.search_cells(index, questions, 60)
+    assert {r["count"] for r in near.groupBy("query_id").count().collect()} == {60}
+    assert v.search_cells(index, spark.createDataFrame([(1, [1.0]), (2, None)], "query_id int, qvec array<double>")).count() == 0
+    assert v.search_cells(v.cell_index(emb.limit(0), DIM), questions).count() == 0
+
+
+def test_cell_index_recall(emb, questions):
     asked = questions.drop("doc_filter")
-    near = v.similarity_topk_lsh(index, lsh, asked, 6).select("query_id", "chunk_id")
+    near = v.search_cells(v.cell_index(emb, DIM), asked, 6).select("query_id", "chunk_id")
     exact = v.similarity_topk_batch(emb, asked, 6).select("query_id", "chunk_id")
-    assert near.intersect(exact).count() >= 0.7 * exact.count()
-    joined = v.similarity_topk_lsh(index, lsh, asked, 6, max_questions=1)
-    assert set(joined.select("query_id", "chunk_id").collect()) == set(near.collect())
+    assert near.intersect(exact).count() >= 0.9 * exact.count()
 
 
 def test_embedding_is_unit_length_and_blank_is_empty(spark):

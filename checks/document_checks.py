@@ -15,7 +15,7 @@ from tallyloom.plans import answers
 from tallyloom.session import scratch_path
 from tallyloom.sources import adapters
 from tallyloom.sources.documents import assemble_documents
-from tallyloom.streaming.refresh import current_index, freshness, indexed_versions, refresh_index
+from tallyloom.streaming.refresh import compact_index, current_index, freshness, refresh_index
 
 # The test texts have line breaks but no blank lines.
 LINE_BREAKS = "\n+"
@@ -888,36 +888,74 @@ _digest_check(
 
 
 def _refreshed(spark, sf):
-    """An index that met all vectors, then a second delivery of those that changed, twice."""
-    first = adapters.table(spark, sf, "embeddings").select(
-        F.col("vec_id").alias("chunk_id"), "label", F.lit(1).alias("version"), "embedding"
-    )
-    changed = first.where(F.element_at("embedding", 1) > 0).withColumn("version", F.lit(2))
-    source, index, checkpoint = (
-        scratch_path(spark, name) for name in ("arrivals", "index", "progress")
+    """What the source holds now, and an index fed by two streams.
+
+    The first stream delivers the vectors of even labels, then higher versions of those that changed,
+    then deletions; the second, with a checkpoint of its own, the vectors of odd labels.
+    """
+    rows = adapters.table(spark, sf, "embeddings").select(
+        F.col("vec_id").alias("chunk_id"),
+        "label",
+        F.lit(1).alias("version"),
+        F.lit(False).alias("deleted"),
+        "embedding",
     )
-    for delivery in (first, changed):
-        delivery.write.mode("append").parquet(source)
-        refresh_index(spark, source, index, checkpoint, first.schema)
-    refresh_index(spark, source, index, checkpoint, first.schema)
-    return first, index
+    changed = F.element_at("embedding", 1) > 0
+    gone = F.col("chunk_id") % 7 == 0
+    even, odd = rows.where("label % 2 = 0"), rows.where("label % 2 = 1")
+    second = even.where(changed).withColumn("version", F.lit(2))
+    third = even.where(gone).withColumn("version", F.lit(3)).withColumn("deleted", F.lit(True))
+    index = scratch_path(spark, "index")
+    for deliveries in ([even, second, third], [odd]):
+        source, checkpoint = scratch_path(spark, "arrivals"), scratch_path(spark, "progress")
+        for delivery in deliveries:
+            delivery.write.mode("append").parquet(source)
+            refresh_index(spark, source, index, checkpoint, rows.schema)
+        refresh_index(spark, source, index, checkpoint, rows.schema)
+    now = rows.withColumn("version", F.when(changed & (F.col("label") % 2 == 0), 2).otherwise(1))
+    return now.where(~(gone & (F.col("label") % 2 == 0))), index
+
+
+_EXPECTED_INDEX = """SELECT vec_id AS chunk_id, label,
+  CASE WHEN embedding[1] > 0 AND label % 2 = 0 THEN 2 ELSE 1 END AS version
+FROM embeddings WHERE NOT (vec_id % 7 = 0 AND label % 2 = 0)"""
+
+
+@check("r1_incremental_refresh", _EXPECTED_INDEX)
+def _(spark, sf):
+    now, index = _refreshed(spark, sf)
+    return current_index(spark, index, now.schema).select("chunk_id", "label", "version")
+
+
+@check("r1_compacted", _EXPECTED_INDEX)
+def _(spark, sf):
+    now, index = _refreshed(spark, sf)
+    compact_index(spark, index, now.schema)
+    return current_index(spark, index, now.schema).select("chunk_id", "label", "version")
 
 
 @check(
-    "r1_incremental_refresh",
-    """SELECT vec_id AS chunk_id, label, CASE WHEN embedding[1] > 0 THEN 2 ELSE 1 END AS version
-FROM embeddings""",
+    "r2_freshness",
+    f"""SELECT count(*) AS source_rows, count(*) AS indexed_rows, 0 AS missing_rows,
+  0 AS stale_rows, 0 AS extra_rows, 0 AS lag FROM ({_EXPECTED_INDEX})""",
 )
 def _(spark, sf):
-    first, index = _refreshed(spark, sf)
-    return current_index(spark, index, first.schema).drop("embedding")
+    now, index = _refreshed(spark, sf)
+    return freshness(now, current_index(spark, index, now.schema))
 
 
 @check(
-    "r2_freshness",
-    """SELECT count(*) AS source_rows, count(*) + count(*) FILTER (WHERE embedding[1] > 0)
-  AS indexed_rows, -count(*) FILTER (WHERE embedding[1] > 0) AS lag FROM embeddings""",
+    "r2_freshness_behind",
+    f"""SELECT count(*) AS source_rows, (SELECT count(*) FROM ({_EXPECTED_INDEX})) AS indexed_rows,
+  count(*) FILTER (WHERE gone) AS missing_rows, count(*) FILTER (WHERE NOT gone AND newer)
+  AS stale_rows, 0 AS extra_rows, count(*) FILTER (WHERE gone OR newer) AS lag FROM
+  (SELECT vec_id % 7 = 0 AND label % 2 = 0 AS gone, embedding[1] > 0 AND label % 2 = 0 AS newer
+   FROM embeddings)""",
 )
 def _(spark, sf):
-    first, index = _refreshed(spark, sf)
-    return freshness(first, indexed_versions(spark, index, first.schema))
+    # the source as it was first delivered: what was deleted is missing, what changed is at another version
+    now, index = _refreshed(spark, sf)
+    first = adapters.table(spark, sf, "embeddings").select(
+        F.col("vec_id").alias("chunk_id"), F.lit(1).alias("version")
+    )
+    return freshness(first, current_index(spark, index, now.schema))

@@ -15,6 +15,7 @@ from tallyloom.plans import answers
 from tallyloom.session import scratch_path
 from tallyloom.sources import adapters
 from tallyloom.sources.documents import assemble_documents
+from tallyloom.sources.files import create_table_as, rewrite_table
 from tallyloom.streaming.refresh import compact_index, current_index, freshness, refresh_index
 
 # The test texts have line breaks but no blank lines.
@@ -152,6 +153,18 @@ def _(spark, sf):
     return t.repair_chunks(_doc_rows(spark, sf)).select("doc_id", "chunk_text")
 
 
+@check(
+    "t3_repair_stored_table",
+    f"""SELECT doc_id, CASE WHEN regexp_matches(text, '[A-Za-z] [a-z]')
+  THEN regexp_replace(text, '{_SPLIT}', '\\1\\2', 'g') ELSE text END AS chunk_text FROM documents""",
+)
+def _(spark, sf):
+    first, second = scratch_path(spark, "chunks"), scratch_path(spark, "chunks")
+    name = "repaired_" + first.rsplit("-", 1)[1]
+    create_table_as(spark, name, _doc_rows(spark, sf).select("doc_id", "chunk_text"), first)
+    return rewrite_table(spark, name, t.repair_chunks, second)
+
+
 @check(
     "p15_regex_predicate",
     "SELECT doc_id FROM documents WHERE regexp_matches(text, '[A-Za-z] [a-z]')",
@@ -215,6 +228,43 @@ def _(spark, sf):
     return t.search_product_docs(chunks(spark, sf), "Eaux")
 
 
+def _lookup(spark, sf, call):
+    """The rows of a lookup that is registered as a table function over the chunks."""
+    view = "lookup_chunks"
+    chunks(spark, sf).createOrReplaceTempView(view)
+    t.register_lookups(spark, view, view)
+    return spark.sql(f"SELECT * FROM {call}")
+
+
+@check(
+    "t6_search_by_sql_function",
+    f"""SELECT chunk_id, file_name, doc_type, chunk_text, source_url FROM doc_chunks
+WHERE {_like("chunk_text", "Eaux")} OR {_like("file_name", "Eaux")}
+ORDER BY chunk_id LIMIT 5""",
+)
+def _(spark, sf):
+    return _lookup(spark, sf, "search_product_docs('Eaux')")
+
+
+@check(
+    "t7_policy_by_sql_function",
+    f"""SELECT chunk_id, file_name, doc_type, chunk_text FROM doc_chunks
+WHERE {_like("chunk_text", "iso")} ORDER BY doc_type, chunk_id LIMIT 10""",
+)
+def _(spark, sf):
+    return _lookup(spark, sf, "get_product_policy('iso')")
+
+
+@check(
+    "t8_discount_by_sql_function",
+    f"""SELECT chunk_id, doc_type, chunk_text FROM doc_chunks WHERE doc_type = 'discount_policy'
+  AND {_like("chunk_text", "tion")} AND {_like("chunk_text", "and")}
+ORDER BY chunk_id LIMIT 5""",
+)
+def _(spark, sf):
+    return _lookup(spark, sf, "get_discount_by_category('tion', 'and')")
+
+
 @check(
     "p13_keyword_predicate",
     f"""SELECT chunk_id FROM doc_chunks

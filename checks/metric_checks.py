@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import check, cte
 from tallyloom.operators import joins
-from tallyloom.operators.audits import accepted_values, fanout_audit, key_audit, orphan_audit
+from tallyloom.operators.audits import accepted_values, fanout_audit, key_audit, key_summary, orphan_audit
 from tallyloom.operators.ranking import top_n
 from tallyloom.plans import coverage, metrics, relations
 from tallyloom.sources.adapters import coverage_tables
@@ -756,3 +756,30 @@ WHERE age_band NOT IN ('1-URGENT', '2-HIGH') GROUP BY ALL""",
 def _(spark, sf):
     pop = tables(spark, sf)["fact_zip_pop_by_age"]
     return accepted_values(pop, "age_band", ["1-URGENT", "2-HIGH"])
+
+
+# Columns that the metric model declares unique.
+_UNIQUE = {
+    "dim_zip": "zip_code",
+    "dim_state": "state_code",
+    "dim_payers": "payer_id",
+    "dim_parent_payer": "parent_payer_id",
+    "dim_insured_party": "insured_id",
+    "dim_payors_aba": "payor_id",
+    "fact_insurance_policy": "policy_id",
+}
+
+
+def _unique_check(name, key):
+    @check(
+        f"d1_unique_in_{name}",
+        f"""SELECT cast(sum(n) AS bigint) AS key_rows, count(*) AS distinct_keys,
+  count(*) FILTER (WHERE n > 1) AS repeated_keys, count(*) FILTER (WHERE {key} IS NULL) AS null_keys
+FROM (SELECT {key}, count(*) AS n FROM {name} GROUP BY {key})""",
+    )
+    def _(spark, sf):
+        return key_summary(tables(spark, sf)[name], [key])
+
+
+for _name, _key in _UNIQUE.items():
+    _unique_check(_name, _key)

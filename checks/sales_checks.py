@@ -15,7 +15,7 @@ from tallyloom.functions.sales import (
     segment3,
     value_band,
 )
-from tallyloom.operators.audits import key_audit
+from tallyloom.operators.audits import key_audit, key_summary
 from tallyloom.operators.ranking import (
     dense_rank_by,
     lag_growth,
@@ -546,7 +546,7 @@ def revenue_kpi(spark, sf):
     AS category_revenue_rank FROM product_dim""",
 )
 def _(spark, sf):
-    return sales.product_performance(sales.product_dim(wide(spark, sf)))
+    return sales.product_performance(sales.product_measures(wide(spark, sf)))
 
 
 @check("k3_customer_segments", _SEGMENTS)
@@ -598,3 +598,33 @@ FROM bronze_sales GROUP BY transaction_id HAVING count(*) > 1 OR transaction_id
 )
 def _(spark, sf):
     return key_audit(bronze(spark, sf), ["transaction_id"])
+
+
+# The keys that the star schema declares.
+_KEYED = {
+    "semantic_fact": ("gold_wide", "transaction_id", lambda w: w),
+    "date_dim": (
+        "(SELECT DISTINCT date_id, transaction_date, year, quarter, month FROM gold_wide)",
+        "date_id",
+        lambda w: sales.date_dim(w).withColumnRenamed("date_key", "date_id"),
+    ),
+    "product_dim": ("product_dim", "product_key", sales.product_dim),
+    "customer_dim": ("customer_dim", "customer_key", sales.customer_dim),
+    "geography_dim": ("geography_dim", "geography_key", sales.geography_dim),
+}
+
+
+def _summary_sql(source: str, key: str) -> str:
+    return f"""SELECT cast(coalesce(sum(n), 0) AS bigint) AS key_rows, count(*) AS distinct_keys,
+  count(*) FILTER (WHERE n > 1) AS repeated_keys, count(*) FILTER (WHERE {key} IS NULL) AS null_keys
+FROM (SELECT {key}, count(*) AS n FROM {source} GROUP BY {key})"""
+
+
+def _key_check(name, source, key, build):
+    @check(f"d1_key_of_{name}", _summary_sql(source, key))
+    def _(spark, sf):
+        return key_summary(build(wide(spark, sf)), [key])
+
+
+for _name, (_source, _key, _build) in _KEYED.items():
+    _key_check(_name, _source, _key, _build)

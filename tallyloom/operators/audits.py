@@ -23,6 +23,17 @@ def key_audit(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def key_summary(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """How a declared key holds: rows, distinct keys, keys of several rows and keys with a NULL part."""
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return per_key.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("key_rows"),
+        F.count(F.lit(1)).alias("distinct_keys"),
+        F.count_if(F.col("n") > 1).alias("repeated_keys"),
+        F.count_if(_any_null(keys)).alias("null_keys"),
+    )
+
+
 def orphan_audit(
     left: DataFrame, right: DataFrame, keys: Sequence[tuple[str, str]]
 ) -> DataFrame:

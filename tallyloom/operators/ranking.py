@@ -105,11 +105,12 @@ def lag_growth(
 ) -> DataFrame:
     """The value ``rows`` rows earlier (not days) and the growth since then in percent.
 
-    The input has one row per calendar date, a bounded domain, so one sorted partition of
-    narrow rows is the cheapest plan.
+    Rows are numbered by ranges of the ordering, and each meets the one whose number is ``rows`` less; both are
+    equi-joined on a unique number, so no task holds more than a range. ``order`` should be total. Eager, as ``surrogate_key``.
     """
-    before = F.lag(value, rows).over(Window.orderBy(order))
-    lagged = daily.withColumn(lag_name, before)
+    numbered = surrogate_key(daily, [order], "_n")
+    earlier = numbered.select((F.col("_n") + rows).alias("_n"), F.col(value).alias(lag_name))
+    lagged = numbered.join(earlier, "_n", "left").drop("_n")
     change = F.col(value) - F.col(lag_name)
     return lagged.withColumn(growth_name, F.round(safe_pct(change, F.col(lag_name)), 2))
 

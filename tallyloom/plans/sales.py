@@ -281,6 +281,12 @@ def product_dim(wide: DataFrame, performance: DataFrame | None = None) -> DataFr
     return surrogate_key(rows, ["sku", *(c for c in rows.columns if c != "sku")], "product_key")
 
 
+def product_measures(wide: DataFrame) -> DataFrame:
+    """What ``product_dim`` holds but for its key: the ranks need none, so nothing is numbered."""
+    performance = park(gold_product_performance(wide), "performance")
+    return product_rows(performance.select(*_PRODUCT), performance)
+
+
 def customer_rows(wide: DataFrame) -> DataFrame:
     """Lifetime measures per customer name, type and end user."""
     return (

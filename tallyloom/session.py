@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -37,8 +39,8 @@ def build_session(app_name: str = "tallyloom", cores: str | int = "*", **conf: s
 def scratch_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a folder of this machine; on a cluster an unset
-    folder is an error, because a lost executor would take its machine-local files along.
+    Only a local master may fall back to a folder of this machine, as in tests, which goes when the program
+    ends; on a cluster an unset folder is an error, because a lost executor would take its machine-local files along.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
@@ -49,6 +51,7 @@ def scratch_root(spark: SparkSession) -> str:
     app = context.applicationId
     if app not in _local_scratch:
         _local_scratch[app] = tempfile.mkdtemp(prefix="tallyloom-")
+        atexit.register(shutil.rmtree, _local_scratch[app], ignore_errors=True)
     return _local_scratch[app]
 
 

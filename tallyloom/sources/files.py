@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -34,15 +34,6 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread a scan over all cores if its files give fewer tasks than there are cores.
-
-    A table of many files or row groups is left as it is, so nothing is shuffled at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
-
-
 def overwrite_table(
     df: DataFrame, name: str, path: str | None = None, partition_by: Sequence[str] = ()
 ) -> DataFrame:
@@ -59,6 +50,25 @@ def overwrite_table(
     return df.sparkSession.table(name)
 
 
+def rewrite_table(
+    spark: SparkSession, name: str, change: Callable[[DataFrame], DataFrame], path: str
+) -> DataFrame:
+    """Store ``change`` of a table under the table's own name.
+
+    The rows are written to ``path``, a new folder, while the table still reads its old one; then the table is pointed there.
+    A stop before that leaves the table as it was. The schema must stay the same. The old folder stays for readers that
+    began before; its place is the caller's to clear.
+    """
+    before = spark.table(name)
+    changed = change(before)
+    if changed.schema != before.schema:
+        raise ValueError(f"{name} would change its schema")
+    changed.write.parquet(path)
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
 def create_table_as(
     spark: SparkSession, name: str, query: str | DataFrame, path: str | None = None
 ) -> DataFrame:

@@ -245,12 +245,30 @@ STARS = {
 }
 
 
+# What of a joined table goes into the checksum of its matches.
+_SEEN = {
+    "dim_zip": ["zip_code", "state_code", "county_name", "msa_name"],
+    "dim_state": ["state_code", "state_name"],
+    "dim_county": ["county_name", "state_code"],
+    "dim_msa": ["msa_name", "state_code"],
+    "dim_payers": ["payer_id", "payer_name", "parent_payer_id"],
+    "dim_parent_payer": ["parent_payer_id", "parent_payer_name"],
+    "dim_clinic": ["clinic_name", "state_code"],
+    "map_clinic_to_zip": ["zip_code", "clinic_name"],
+    "dim_insured_party": ["insured_id", "last_name", "zip_code"],
+    "dim_payors_aba": ["payor_id", "payor_name"],
+}
+
+
 def _star_sql(start: str, edges: list[str]) -> str:
-    """Rows of the star and, per joined table, how many of them found a partner."""
+    """Rows of the star and, per joined table, how many found a partner and a checksum of who met whom."""
     found, joined = ["count(*) AS n"], [start]
     for name in edges:
         edge = metrics.RELATIONSHIPS[name]
+        met = [f"{edge.left}.{k}" for k, _ in edge.keys] + [f"{edge.right}.{c}" for c in _SEEN[edge.right]]
+        checksum = f"sum(('0x' || substr(md5(concat_ws('|', {', '.join(met)})), 1, 8))::bigint)"
         found.append(f"count({edge.right}.{edge.keys[0][1]}) AS {edge.right}")
+        found.append(f"cast({checksum} AS bigint) AS {edge.right}_pairs")
         joined.append(f"LEFT JOIN {edge.right} ON {_sql_keys(edge, edge.left, edge.right)}")
     return f"SELECT {', '.join(found)} FROM {' '.join(joined)}"
 
@@ -258,11 +276,15 @@ def _star_sql(start: str, edges: list[str]) -> str:
 def _star_query(start: str, edges: list[str]):
     def query(spark, sf):
         rows = metrics.relate(tables(spark, sf), start, edges)
-        ends = [metrics.RELATIONSHIPS[name] for name in edges]
-        return rows.agg(
-            F.count(F.lit(1)).alias("n"),
-            *(F.count(f"{e.right}__{e.keys[0][1]}").alias(e.right) for e in ends),
-        )
+        found = [F.count(F.lit(1)).alias("n")]
+        for name in edges:
+            edge = metrics.RELATIONSHIPS[name]
+            left = "" if edge.left == start else f"{edge.left}__"
+            met = [left + k for k, _ in edge.keys] + [f"{edge.right}__{c}" for c in _SEEN[edge.right]]
+            number = F.conv(F.substring(F.md5(F.concat_ws("|", *(F.col(c).cast("string") for c in met))), 1, 8), 16, 10)
+            found.append(F.count(f"{edge.right}__{edge.keys[0][1]}").alias(edge.right))
+            found.append(F.sum(number.cast("bigint")).alias(f"{edge.right}_pairs"))
+        return rows.agg(*found)
 
     return query
 

@@ -7,6 +7,7 @@ once, until the memo is full; the ids are the library's own, and equal to those
 
 from __future__ import annotations
 
+import json
 import os
 import re
 
@@ -23,6 +24,8 @@ END_ID = 0
 
 _ODD_SPACE = re.compile(r" \s")
 _CUT = re.compile(r" (?=\S)")
+_SIGNS = (",", ".")
+_LAST_LETTER = "\u0370"  # letters before it have been letters in all versions of Unicode
 _encoders: dict[str, MemoEncoder] = {}
 
 
@@ -70,6 +73,10 @@ class MemoEncoder:
         self.byte_lengths = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
         for token, token_id in vocabulary.items():
             self.byte_lengths[token_id] = len(token)  # one character for each byte
+        #: The same model without pre-tokens, for single words written in the vocabulary's letters for bytes.
+        spec = json.loads(self.library.to_str())
+        self.words = Tokenizer.from_str(json.dumps(spec | {"pre_tokenizer": None}))
+        self.signs = {c: self._ids(c) for c in _SIGNS}
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -97,26 +104,40 @@ class MemoEncoder:
         return np.asarray(ids, dtype="<u4").tobytes()
 
     def _learn(self, missing: list[str]) -> None:
-        plain, other = [], []
-        for piece in missing:
-            edges = piece[:1] + piece[-1:]
-            (other if not edges or edges[0].isspace() or edges[1].isspace() else plain).append(piece)
-        odd = [p[1:] if p.startswith(" ") else " " + p for p in other]
-        for piece, found in zip(other, self.library.encode_batch_fast(odd, add_special_tokens=False)):
+        """Fill the memo: single words through the library's model, other pieces through the whole library.
+
+        A comma or full stop behind a letter is a pre-token of its own, so such a piece is its word and that sign.
+        """
+        ended = [p for p in missing if p[-1:] in _SIGNS and p[-2:-1].isalpha() and p[-2] < _LAST_LETTER]
+        wanted = {p[:-1] for p in ended}.difference(self.memo)
+        wanted.update(set(missing).difference(ended))
+        words = [p for p in wanted if p.isalpha() and p.isascii()]
+        wanted.difference_update(words)
+        plain = [p for p in wanted if p and p.strip() is p]
+        wanted.difference_update(plain)
+        odd = list(wanted)
+        texts = [p[1:] if p.startswith(" ") else " " + p for p in odd]
+        for piece, found in zip(odd, self.library.encode_batch_fast(texts, add_special_tokens=False)):
             self.memo[piece] = np.asarray(found.ids, dtype="<u4").tobytes()
+        groups = [words[at : at + 2000] for at in range(0, len(words), 2000)]
+        self._keep(groups, self.words.encode_batch_fast([["\u0120" + p for p in g] for g in groups], is_pretokenized=True, add_special_tokens=False))
         groups = [plain[at : at + 2000] for at in range(0, len(plain), 2000)]
-        joined = ["".join([" " + p for p in group]) for group in groups]
-        for group, found in zip(groups, self.library.encode_batch_fast(joined, add_special_tokens=False)):
+        self._keep(groups, self.library.encode_batch_fast(["".join([" " + p for p in g]) for g in groups], add_special_tokens=False))
+        memo = self.memo
+        for piece in ended:
+            memo[piece] = memo[piece[:-1]] + self.signs[piece[-1]]
+
+    def _keep(self, groups: list[list[str]], encoded) -> None:
+        """Cut the ids of joined pieces at the pieces' ends, found by the tokens' byte lengths."""
+        for group, found in zip(groups, encoded):
             ids = np.asarray(found.ids, dtype="<u4")
             ends = np.cumsum(self.byte_lengths[ids])
-            stops = np.cumsum([1 + len(p.encode()) for p in group])
+            stops = np.cumsum(np.fromiter(map(len, map(str.encode, group)), np.int64, len(group)) + 1)
             cuts = np.searchsorted(ends, stops) + 1
             if not np.array_equal(ends[cuts - 1], stops):
                 raise ValueError("a token crosses a cut; the vocabulary joins a space to the text before it")
-            raw, at = ids.tobytes(), 0
-            for piece, stop in zip(group, cuts.tolist()):
-                self.memo[piece] = raw[4 * at : 4 * stop]
-                at = stop
+            raw, bounds = ids.tobytes(), [0, *(4 * cuts).tolist()]
+            self.memo.update(zip(group, [raw[a:b] for a, b in zip(bounds, bounds[1:])]))
 
 
 def encoder(path: str | None = None) -> MemoEncoder:

@@ -31,8 +31,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Rows without an id link with nothing and stay.
     """
     classes = ngram_join.jaccard_classes(docs, SHINGLE_WORDS, SIMILARITY_PERCENT)
-    copies = park(classes.where("component_id <> doc_id").select(F.col("doc_id").alias("copy_id")).distinct(), "copies")
-    single = docs.join(copies, F.col("doc_id") == F.col("copy_id"), "left_anti").where("doc_id is not null")
+    copies = park(classes.where("component_id <> doc_id").select(F.col("doc_id").alias("tallyloom_copy")).distinct(), "copies")
+    single = docs.join(copies, F.col("doc_id") == F.col("tallyloom_copy"), "left_anti").where("doc_id is not null")
     first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
     once = single.withColumn("tallyloom_row", F.row_number().over(first)).where("tallyloom_row = 1").drop("tallyloom_row")
     return once.unionByName(docs.where("doc_id is null"))

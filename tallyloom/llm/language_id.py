@@ -9,7 +9,6 @@ A row whose text is better explained by random letters than by any language is u
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -75,7 +74,6 @@ def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                 names = sorted(set(marks))
                 number = np.array([names.index(m) for m in marks])
                 sums = np.bincount(number[owner] * BUCKETS + codes, minlength=len(names) * BUCKETS).reshape(-1, BUCKETS)
-                at = np.flatnonzero(sums.any(axis=0))
                 for name, row in zip(names, sums):
                     at = np.flatnonzero(row)
                     yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at), pa.array(row[at])], ["mark", "bucket", "n"])
@@ -191,5 +189,5 @@ def keep_identified(docs: DataFrame, model: TrigramModel, id_column: str = "doc_
     """The rows, all their columns kept, whose language is determined. A row is known by its id and its text."""
     mark = F.xxhash64(id_column, text_column, declared, host)
     found = identify(docs.withColumn("tallyloom_mark", mark), model, "tallyloom_mark", text_column, declared, None, host)
-    rejected = park(found.where(~F.col("accepted")).select("key").distinct(), "rejected")
-    return docs.join(rejected, mark == F.col("key"), "left_anti")
+    rejected = park(found.where(~F.col("accepted")).select(F.col("key").alias("tallyloom_rejected")).distinct(), "rejected")
+    return docs.join(rejected, mark == F.col("tallyloom_rejected"), "left_anti")

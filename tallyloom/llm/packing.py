@@ -150,6 +150,8 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
     Only the counts by length, at most ``capacity`` of them, come to the driver.
     """
+    if capacity >= 1 << 15:
+        raise ValueError("capacities of 32768 tokens and more are not supported")
     per_task = pieces.groupBy("task", "length").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     shifts = park(per_task.withColumn("shift", F.coalesce(F.sum("n").over(before), F.lit(0))), "shifts")
@@ -174,12 +176,8 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def _place_keys(lengths: np.ndarray, ranks: np.ndarray) -> np.ndarray:
-    """One number that orders (length, rank); ranks stay below 2 to the power of 48."""
-    return lengths.astype(np.int64) << 48 | ranks.astype(np.int64) if lengths.size == 0 or lengths.max() < 1 << 15 else _too_long()
-
-
-def _too_long() -> np.ndarray:
-    raise ValueError("capacities of 32768 tokens and more are not supported")
+    """One number that orders (length, rank): lengths below 2 to the power of 15, ranks below that of 48."""
+    return lengths.astype(np.int64) << 48 | ranks.astype(np.int64)
 
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, **encoding) -> DataFrame:

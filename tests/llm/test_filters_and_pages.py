@@ -216,6 +216,16 @@ def test_stages(spark, sf_dir, library):
     check_packing(packed, [(i, texts[i]) for i in ids], library, 2048)
 
 
+def test_stages_with_clashing_columns(spark, documents, sf_dir):
+    docs = documents([(i, f"words of text number {i} " * 20) for i in range(6)])
+    for name in ("key", "copy_id", "rep", "digest", "node", "component", "n", "p", "host", "score"):
+        docs = docs.withColumn(name, docs["n_chars"])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, sf_dir)
+        assert kept.columns == docs.columns and kept.count() <= 6
+    assert corpus_pipeline.pack(spark, docs, sf_dir).count() == 6
+
+
 def test_stages_on_odd_rows(spark, documents, sf_dir):
     rows = [(1, None), (2, ""), (3, "words of a text " * 30), (3, "words of a text " * 30), (4, "words of a text " * 30), (None, "no id here"), (None, None)]
     docs = documents(rows)

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from checks.registry import check, cte
 from tallyloom.functions import wordlists as words
-from tallyloom.functions.text import clean_line
 from tallyloom.operators import text as t
 from tallyloom.operators import vectors as v
 from tallyloom.operators.audits import embedding_audit

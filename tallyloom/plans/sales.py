@@ -22,6 +22,8 @@ from tallyloom.operators.ranking import lag_growth, revenue_ranks, surrogate_key
 from tallyloom.session import park
 
 _GEOGRAPHY = ["country", "state", "city", "region"]
+# The order in which the published tables list a place.
+_PLACE = ["country", "region", "state", "city"]
 _PRODUCT = ["product_sku", "product_name", "category", "brand"]
 
 
@@ -151,7 +153,7 @@ def semantic_sales_fact_v2(wide: DataFrame) -> DataFrame:
         F.col("customer_type").alias("customer_segment_code"),
         F.col("customer_segment").alias("customer_segment_name"),
         "end_user",
-        *_GEOGRAPHY,
+        *_PLACE,
         *_PRODUCT,
         *_fact_measures(),
     )
@@ -202,7 +204,7 @@ def gold_product_performance(wide: DataFrame) -> DataFrame:
 def gold_geography_performance(wide: DataFrame) -> DataFrame:
     """By place. The two customer-type columns count transactions, as their consumers expect."""
     return (
-        wide.groupBy(*_GEOGRAPHY)
+        wide.groupBy(*_PLACE)
         .agg(
             F.sum("revenue").alias("total_revenue"),
             F.sum("units_sold").alias("total_units_sold"),
@@ -313,7 +315,7 @@ def customer_dim(wide: DataFrame) -> DataFrame:
 
 def geography_dim(wide: DataFrame) -> DataFrame:
     rows = gold_geography_performance(wide).select(
-        *_GEOGRAPHY,
+        *_PLACE,
         "total_revenue",
         "total_units_sold",
         "total_orders",
@@ -383,7 +385,7 @@ def customer_segments(customers: DataFrame) -> DataFrame:
 def geography_insights(places: DataFrame) -> DataFrame:
     """Places with the share of business transactions per unique customer (may exceed 100)."""
     return places.select(
-        *_GEOGRAPHY,
+        *_PLACE,
         F.col("total_revenue").alias("revenue_usd"),
         F.col("total_units_sold").alias("units_sold"),
         F.col("total_orders").alias("orders"),

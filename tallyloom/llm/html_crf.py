@@ -230,7 +230,7 @@ def extract(pages: DataFrame, model: ChainCrf | None = None, id_column: str = "p
 
     def read(batches):
         for batch in batches:
-            for start, texts in batches_of_text(batch.column(2), 2_000_000):
+            for start, texts in batches_of_text(batch.column(2), 1_000_000):
                 found = main_texts(model, texts)
                 own = [batch.column(i).slice(start, len(texts)) for i in (0, 1)]
                 yield pa.RecordBatch.from_arrays([*own, pa.array(found, pa.string()), pa.array([len(t) for t in found], pa.int64())], names)

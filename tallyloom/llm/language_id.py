@@ -68,7 +68,7 @@ def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
 
     def count(batches):
         for batch in batches:
-            for start, texts in batches_of_text(batch.column(1), 2_000_000):
+            for start, texts in batches_of_text(batch.column(1), 1_000_000):
                 marks = batch.column(0).slice(start, len(texts)).to_pylist()
                 codes, owner = trigrams(texts)
                 names = sorted(set(marks))
@@ -114,9 +114,18 @@ def declared_in(html: Column) -> Column:
     return F.when(tag != "", tag)
 
 
-def _softmax(column: str) -> Column:
-    shifted = F.transform(column, lambda x: F.exp(x - F.array_max(column)))
-    return F.transform(shifted, lambda x: x / F.aggregate(shifted, F.lit(0.0), lambda a, b: a + b))
+def _softmax(scores: np.ndarray) -> np.ndarray:
+    powers = np.exp(scores - scores.max(axis=1, keepdims=True))
+    return powers / powers.sum(axis=1, keepdims=True)
+
+
+def _lists(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """A column of lists as a matrix, zeros for null, and which rows are not null."""
+    there = ~np.asarray(column.is_null().to_numpy(zero_copy_only=False), dtype=bool)
+    out = np.zeros((len(column), width))
+    if there.any():
+        out[there] = column.drop_null().flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+    return out, there
 
 
 def identify(rows: DataFrame, model: TrigramModel, key: str, text: str, declared: str | None = None, suffix: str | None = None,
@@ -133,23 +142,24 @@ def identify(rows: DataFrame, model: TrigramModel, key: str, text: str, declared
 
     def read(batches):
         for batch in batches:
-            for start, texts in batches_of_text(batch.column(batch.num_columns - 1), 2_000_000):
+            for start, texts in batches_of_text(batch.column(batch.num_columns - 1), 1_000_000):
                 n, sums = model.evidence([text_of(t) for t in texts] if text_of else texts)
                 weighed = TEMPER * sums
                 weighed = np.maximum(weighed, weighed.max(axis=1, keepdims=True) - MOST_EVIDENCE)
                 own = [batch.column(i).slice(start, len(texts)) for i in range(batch.num_columns - 1)]
                 heard = pa.array(list(weighed - weighed.max(axis=1, keepdims=True)), pa.list_(pa.float64()))
-                yield pa.RecordBatch.from_arrays([*own, pa.array(n, pa.int64()), heard], names)
+                told = pa.array(list(_softmax(weighed)), pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([*own, pa.array(n, pa.int64()), heard, told], names)
 
     picked = rows.select(F.col(key).alias("key"), *(F.col(c).cast("string").alias(k) if c else F.lit(None).cast("string").alias(k) for k, c in kinds.items()), F.col(text).alias("text"))
-    names = ["key", *kinds, "n", "heard"]
-    schema = f"key {picked.schema[0].dataType.simpleString()}, declared string, suffix string, host string, parent string, n long, heard array<double>"
-    evidence = park(picked.mapInArrow(read, schema).withColumn("p", _softmax("heard")), "evidence")
+    names = ["key", *kinds, "n", "heard", "p"]
+    schema = f"key {picked.schema[0].dataType.simpleString()}, declared string, suffix string, host string, parent string, n long, heard array<double>, p array<double>"
+    evidence = park(picked.mapInArrow(read, schema), "evidence")
     spoken = evidence.where("n > 0")
     sums = [F.sum(F.col("p")[i]).alias(f"s{i}") for i in range(count)]
     overall = spoken.agg(*sums).first()
     total = np.array([overall[i] or 0.0 for i in range(count)]) + 1.0
-    world = [float(x) for x in total / total.sum()]
+    world = total / total.sum()
     gathered = F.array(*(F.col(f"s{i}") for i in range(count)))
 
     def table(kind):
@@ -160,29 +170,42 @@ def identify(rows: DataFrame, model: TrigramModel, key: str, text: str, declared
     for kind, column in kinds.items():
         stored = park(table(kind), f"by-{kind}") if column else None
         joined = joined.join(stored, F.col(kind) == F.col(f"{kind}_value"), "left") if column else joined.withColumn(f"{kind}_sums", F.lit(None).cast("array<double>"))
-    own = lambda i: F.when(F.col("n") > 0, F.col("p")[i]).otherwise(0.0)
-    others = lambda kind, i: F.greatest(F.coalesce(F.col(f"{kind}_sums")[i], F.lit(0.0)) - F.when(F.col(f"{kind}_sums").isNotNull(), own(i)).otherwise(0.0), F.lit(0.0))
-    rows_of = lambda kind: sum((others(kind, i) for i in range(count)), F.lit(0.0))
-    scored = []
-    for i in range(count):
-        up = (others("parent", i) + F.lit(HOST_WEIGHT * world[i])) / (rows_of("parent") + F.lit(HOST_WEIGHT))
-        prior = (others("host", i) + F.lit(HOST_WEIGHT) * up) / (rows_of("host") + F.lit(HOST_WEIGHT))
-        score = F.log(prior) + F.col("heard")[i]
-        for kind in ("declared", "suffix"):
-            # how much more often the value goes with this language than with any; one row each way when unseen
-            lift = (others(kind, i) + FIELD_WEIGHT) / (F.lit(float(total[i])) + FIELD_WEIGHT)
-            score = score + F.when(F.col(kind).isNotNull(), F.log(lift)).otherwise(0.0)
-        scored.append(score)
-    fused = joined.select("key", *kinds, "n", "p", F.array(*scored).alias("scored")).withColumn("fused", _softmax("scored"))
-    labels = F.array(*(F.lit(name) for name in model.languages))
-    best = lambda c: F.element_at(labels, F.array_position(c, F.array_max(c)).cast("int"))
-    silent = (F.col("n") == 0) & F.col("declared").isNull() & F.col("suffix").isNull() & F.col("host").isNull()
-    posterior = F.when(silent, 0.0).otherwise(F.array_max("fused"))
-    language = F.when(silent, UNDETERMINED).otherwise(best(F.col("fused")))
-    return fused.select(
-        "key", "declared", "suffix", "host", language.alias("language"), posterior.alias("posterior"),
-        F.when(F.col("n") > 0, best(F.col("p"))).alias("text_language"), "n",
-    ).withColumn("accepted", (F.col("language") != UNDETERMINED) & (F.col("posterior") >= KEEP_POSTERIOR) & (F.col("n") > 0))
+    labels, silent_fields = np.array(model.languages), ("declared", "suffix", "host")
+
+    def fuse(batches):
+        for batch in batches:
+            heard, _ = _lists(batch.column("heard"), count)
+            own, n = _lists(batch.column("p"), count)[0], batch.column("n").to_numpy(zero_copy_only=False)
+            own = own * (n > 0)[:, None]
+            others = {}
+            for kind in kinds:  # the row's own vote does not count for it
+                sums, there = _lists(batch.column(f"{kind}_sums"), count)
+                others[kind] = np.maximum(sums - own * there[:, None], 0)
+            up = (others["parent"] + HOST_WEIGHT * world) / (others["parent"].sum(axis=1, keepdims=True) + HOST_WEIGHT)
+            prior = (others["host"] + HOST_WEIGHT * up) / (others["host"].sum(axis=1, keepdims=True) + HOST_WEIGHT)
+            scores = np.log(prior) + heard
+            silent = n == 0
+            for kind in silent_fields:
+                given = ~np.asarray(batch.column(kind).is_null().to_numpy(zero_copy_only=False), dtype=bool)
+                silent = silent & ~given
+                if kind != "host":  # how much of each language goes with this value
+                    scores += given[:, None] * np.log((others[kind] + FIELD_WEIGHT) / (total + FIELD_WEIGHT))
+            fused = _softmax(scores)
+            language = np.where(silent, UNDETERMINED, labels[fused.argmax(axis=1)])
+            posterior = np.where(silent, 0.0, fused.max(axis=1))
+            spoken_as = [str(labels[i]) if m else None for i, m in zip(own.argmax(axis=1), n > 0)]
+            accepted = (language != UNDETERMINED) & (posterior >= KEEP_POSTERIOR) & (n > 0)
+            kept = [batch.column(c) for c in ("key", "declared", "suffix", "host")]
+            yield pa.RecordBatch.from_arrays(
+                [*kept, pa.array(language.tolist(), pa.string()), pa.array(posterior), pa.array(spoken_as, pa.string()), batch.column("n"), pa.array(accepted)],
+                ["key", "declared", "suffix", "host", "language", "posterior", "text_language", "n", "accepted"],
+            )
+
+    kind_of_key = picked.schema[0].dataType.simpleString()
+    return joined.select("key", *kinds, "n", "heard", "p", *(f"{kind}_sums" for kind in kinds)).mapInArrow(
+        fuse,
+        f"key {kind_of_key}, declared string, suffix string, host string, language string, posterior double, text_language string, n long, accepted boolean",
+    )
 
 
 def keep_identified(docs: DataFrame, model: TrigramModel, id_column: str = "doc_id", text_column: str = "text", declared: str = "lang", host: str = "source") -> DataFrame:

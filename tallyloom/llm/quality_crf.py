@@ -81,7 +81,7 @@ def score_texts(model: ChainCrf, texts: list[str]) -> np.ndarray:
     return np.add.reduceat(good * weights, firsts) / np.add.reduceat(weights, firsts)
 
 
-def _slices(batch: pa.RecordBatch, column: int, most: int = 4_000_000):
+def _slices(batch: pa.RecordBatch, column: int, most: int = 1_000_000):
     """(start, texts) of at most ``most`` characters together, or one text."""
     return batches_of_text(batch.column(column), most)
 

@@ -1,10 +1,11 @@
 """Language of documents and pages by Bayesian fusion of what the text, the markup, the address and the host say.
 
-Text: naive Bayes over hashed byte trigrams, fitted on a bounded sample of labelled documents; the likelihood is tempered because
+Text: naive Bayes over hashed byte trigrams, fitted on a bounded sample of each label's documents; the likelihood is tempered because
 neighbouring trigrams are no independent evidence. Markup (declared language) and address suffix: how often each value goes with each
 language, counted over all rows with the text's own posterior as weights. Host: the mean posterior of the host's other rows,
 smoothed towards that of its parent domain, which is smoothed towards that of all rows. All counts are grouped aggregations.
-A row whose text is better explained by random letters than by any language is undetermined (``und``).
+A row whose text is better explained by random letters than by any language is undetermined (``und``), unless it declares a
+language that the model has not learned: then nothing speaks against that language.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.encoder import batches_of_text
@@ -21,8 +22,7 @@ from tallyloom.session import park
 
 UNDETERMINED = "und"
 BUCKETS = 1 << 15
-SAMPLE_DOCUMENTS = 6000
-MOST_LANGUAGES = 32
+SAMPLE_DOCUMENTS = 1500  # of each label
 TEMPER = 0.1  # each trigram counts as this part of an independent observation
 MOST_EVIDENCE = 40.0  # nats that the text may speak for one language over another
 HOST_WEIGHT = 5.0  # rows that a parent's distribution counts for in its host's
@@ -62,9 +62,16 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "lang", sample: int = SAMPLE_DOCUMENTS) -> TrigramModel:
-    """Fit on at most ``sample`` documents with a label and a text, those whose ids have the least hashes."""
-    marked = docs.where(F.col(label_column).isNotNull() & F.col(text_column).isNotNull() & F.col(id_column).isNotNull())
-    chosen = marked.select(F.col(id_column).alias("key")).distinct().orderBy(F.xxhash64("key"), "key").limit(sample)
+    """Fit on at most ``sample`` documents of each label, those whose ids have the least hashes; every label is learned.
+
+    The model has a row of ``BUCKETS`` doubles for each label.
+    """
+    marked = docs.select(F.col(id_column).alias("key"), F.col(label_column).cast("string").alias("mark"), F.col(text_column).alias("text")).dropna()
+    sizes = park(marked.groupBy("mark").agg(F.approx_count_distinct("key").alias("ids")), "labels")
+    drawn = F.xxhash64("key") / F.lit(2.0**64) + 0.5  # uniform in [0, 1): about twice the sample's ids are ranked, whatever the label's size
+    low = marked.select("mark", "key").join(sizes, "mark").where(drawn * F.col("ids") < 2 * sample + 64).select("mark", "key").distinct()
+    least = Window.partitionBy("mark").orderBy(F.xxhash64("key"), "key")
+    chosen = park(low.withColumn("place", F.row_number().over(least)).where(F.col("place") <= sample).select("mark", "key"), "sampled")
 
     def count(batches):
         for batch in batches:
@@ -72,23 +79,20 @@ def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                 marks = batch.column(0).slice(start, len(texts)).to_pylist()
                 codes, owner = trigrams(texts)
                 names = sorted(set(marks))
-                number = np.array([names.index(m) for m in marks])
-                sums = np.bincount(number[owner] * BUCKETS + codes, minlength=len(names) * BUCKETS).reshape(-1, BUCKETS)
-                for name, row in zip(names, sums):
-                    at = np.flatnonzero(row)
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at), pa.array(row[at])], ["mark", "bucket", "n"])
-
-    rows = marked.select(F.col(id_column).alias("key"), F.col(label_column).cast("string").alias("mark"), F.col(text_column).alias("text"))
-    counts = rows.join(F.broadcast(chosen), "key").select("mark", "text").mapInArrow(count, "mark string, bucket long, n long")
-    sums = park(counts.groupBy("mark", "bucket").agg(F.sum("n").alias("n")), "trigrams")
-    largest = sums.groupBy("mark").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "mark").limit(MOST_LANGUAGES).collect()
-    languages = sorted(r["mark"] for r in largest)
+                place = {m: i for i, m in enumerate(names)}
+                number = np.array([place[m] for m in marks], dtype=np.int64)
+                at, n = np.unique(number[owner] * BUCKETS + codes, return_counts=True)
+                spoken = pa.array(names, pa.string()).take(pa.array(at // BUCKETS))
+                yield pa.RecordBatch.from_arrays([spoken, pa.array(at % BUCKETS), pa.array(n)], ["mark", "bucket", "n"])
+
+    counts = marked.join(chosen, ["mark", "key"], "left_semi").select("mark", "text").mapInArrow(count, "mark string, bucket long, n long")
+    found = park(counts.groupBy("mark", "bucket").agg(F.sum("n").alias("n")), "trigrams").toPandas()  # at most BUCKETS rows a label
+    languages = sorted(found["mark"].unique().tolist())
     table = np.full((len(languages) + 1, BUCKETS), 0.5)
-    found = sums.where(F.col("mark").isin(languages)).toPandas()  # at most MOST_LANGUAGES x BUCKETS rows
     table[found["mark"].map({m: i for i, m in enumerate(languages)}).to_numpy(dtype=np.int64), found["bucket"].to_numpy()] += found["n"].to_numpy()
     table[-1] = 1  # random letters
-    table[-1, table[:-1].max(axis=0, initial=0.5) <= 0.5] = 1
-    return TrigramModel([*languages, UNDETERMINED], np.log(table / table.sum(axis=1, keepdims=True)))
+    table /= table.sum(axis=1, keepdims=True)
+    return TrigramModel([*languages, UNDETERMINED], np.log(table, out=table))
 
 
 def host_of(url: Column) -> Column:
@@ -135,7 +139,8 @@ def identify(rows: DataFrame, model: TrigramModel, key: str, text: str, declared
     ``declared``, ``suffix``, ``host`` and ``parent`` name columns; a null value, like a column not named, is no evidence.
     ``text_of`` turns the text column's value into text (for markup). Null and empty texts are no evidence either: the
     other fields then decide, and without any the language is ``und``. Rows of ``und`` and rows whose posterior stays below
-    ``KEEP_POSTERIOR`` are not accepted. Null and repeated keys are rows like others. Eager: one pass over the texts stores the evidence.
+    ``KEEP_POSTERIOR`` are not accepted, but for those with letters that declare a language unknown to the model: they are
+    taken at their word, their posterior being that of no learned language. Null and repeated keys are rows like others. Eager: one pass over the texts stores the evidence.
     """
     count = len(model.languages)
     kinds = {"declared": declared, "suffix": suffix, "host": host, "parent": parent}
@@ -171,6 +176,7 @@ def identify(rows: DataFrame, model: TrigramModel, key: str, text: str, declared
         stored = park(table(kind), f"by-{kind}") if column else None
         joined = joined.join(stored, F.col(kind) == F.col(f"{kind}_value"), "left") if column else joined.withColumn(f"{kind}_sums", F.lit(None).cast("array<double>"))
     labels, silent_fields = np.array(model.languages), ("declared", "suffix", "host")
+    learned = {"", *model.languages}
 
     def fuse(batches):
         for batch in batches:
@@ -193,8 +199,13 @@ def identify(rows: DataFrame, model: TrigramModel, key: str, text: str, declared
             fused = _softmax(scores)
             language = np.where(silent, UNDETERMINED, labels[fused.argmax(axis=1)])
             posterior = np.where(silent, 0.0, fused.max(axis=1))
-            spoken_as = [str(labels[i]) if m else None for i, m in zip(own.argmax(axis=1), n > 0)]
             accepted = (language != UNDETERMINED) & (posterior >= KEEP_POSTERIOR) & (n > 0)
+            said = batch.column("declared").to_pylist()
+            unlearned = np.array([d is not None and d not in learned for d in said], dtype=bool) & (n > 0) & ~accepted
+            language = np.where(unlearned, np.array(said, dtype=object), language)
+            posterior = np.where(unlearned, fused[:, -1], posterior)
+            accepted = accepted | unlearned
+            spoken_as = [str(labels[i]) if m else None for i, m in zip(own.argmax(axis=1), n > 0)]
             kept = [batch.column(c) for c in ("key", "declared", "suffix", "host")]
             yield pa.RecordBatch.from_arrays(
                 [*kept, pa.array(language.tolist(), pa.string()), pa.array(posterior), pa.array(spoken_as, pa.string()), batch.column("n"), pa.array(accepted)],

@@ -137,6 +137,39 @@ def test_language_model_and_fusion(spark):
     assert language_id.identify(frame.limit(0), model, "id", "t", "declared").count() == 0
 
 
+def test_every_label_is_learned(spark):
+    rng = np.random.default_rng(3)
+    letters = [chr(c) for c in [*range(0x430, 0x450), *range(0x561, 0x587), *range(0x5D0, 0x5EB)]]
+    words = {f"l{i:02}": ["".join(rng.choice(letters, 5)) for _ in range(12)] for i in range(40)}
+    rows = [(i, " ".join(rng.choice(words[f"l{i % 40:02}"], 60)), f"l{i % 40:02}", f"s{i % 40}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    model = language_id.train(docs)
+    assert model.languages == [*sorted(words), "und"]
+    assert language_id.keep_identified(docs, model).count() == len(rows)
+
+
+def test_rare_labels_are_learned_from_a_small_sample(spark):
+    rare = "och det att som en på är av för med"
+    docs = language_rows(spark, 600).union(
+        spark.createDataFrame([(1000 + i, rare + " " + " ".join(rare.split()[i:]) * 4, "sv", "src9", 1, "p") for i in range(3)], "doc_id long, text string, lang string, source string, n long, p string")
+    )
+    model = language_id.train(docs, sample=10)
+    assert model.languages == ["de", "en", "fr", "sv", "und"]
+    assert language_id.keep_identified(docs, model).where("lang = 'sv'").count() == 3
+
+
+def test_an_unlearned_language_is_no_reason_to_reject(spark):
+    model = language_id.train(language_rows(spark))
+    text = "αβγδ εζηθ ικλμ νξοπ " * 30
+    rows = [(1, text, "el", "a"), (2, text, None, "a"), (3, text, "en", "a"), (4, " 12 ", "el", "a"), (5, "the and of this that with for was " * 9, "el", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    found = {r["key"]: r for r in language_id.identify(docs, model, "doc_id", "text", "lang", None, "source").collect()}
+    assert found[1]["accepted"] and found[1]["language"] == "el"
+    assert not found[2]["accepted"] and not found[3]["accepted"] and not found[4]["accepted"]
+    assert found[5]["accepted"] and found[5]["language"] == "en"
+    assert sorted(r["doc_id"] for r in language_id.keep_identified(docs, model).collect()) == [1, 5]
+
+
 def test_language_query(spark, sf_dir):
     rows = QUERIES["op7_language_id"](spark, sf_dir).collect()
     assert len(rows) == table(spark, sf_dir, "pages").count()

@@ -26,6 +26,19 @@ BLOCK = {
 }
 _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _ENDS_ITSELF = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+#: What may stand in a head, and what foreign (SVG, MathML) content holds: any other tag closes the head, these tags end the foreign content.
+_IN_HEAD = {"base", "basefont", "bgsound", "head", "html", "link", "meta", "noframes", "noscript", "script", "style", "template", "title"}
+_ENDS_FOREIGN = {
+    "b", "big", "blockquote", "body", "br", "center", "code", "dd", "div", "dl", "dt", "em", "embed", "h1", "h2", "h3", "h4", "h5", "h6", "head", "hr",
+    "i", "img", "li", "listing", "menu", "meta", "nobr", "ol", "p", "pre", "ruby", "s", "small", "span", "strong", "strike", "sub", "sup", "table", "tt",
+    "u", "ul", "var",
+}
+#: Within these foreign elements HTML goes on.
+_FOREIGN_HTML = {"foreignobject", "desc", "annotation-xml", "mi", "mo", "mn", "ms", "mtext"}
+#: Without an end tag: a list of choices ends at the next block, control or select; an element with fallback content hides nothing.
+_CHOICES = {"select", "datalist"}
+_ENDS_CHOICES = (BLOCK - {"hr"}) | {"select", "input", "textarea", "keygen"}
+_FALLBACK = {"noscript", "object", "canvas", "audio", "video", "map"}
 _SCOPE = {"ul", "ol", "dl", "table", "div", "article", "section", "body", "menu"}
 
 #: What an ancestor's tag, or a word of its class, id or role, makes of the blocks below it.
@@ -84,6 +97,17 @@ def _bits(name: str, attributes: str) -> int:
     return bits
 
 
+def _never_closed(page: str, name: str) -> set[int]:
+    """Where the start tags of an element begin that have no end tag."""
+    open_at: list[int] = []
+    for match in re.finditer(rf"<(/?){name}(?![A-Za-z0-9:-])", page, re.IGNORECASE):
+        if not match[1]:
+            open_at.append(match.start())
+        elif open_at:
+            open_at.pop()
+    return set(open_at)
+
+
 def leaf_blocks(page: str | None) -> list[LeafBlock]:
     """All blocks with text, in page order. Unclosed and stray tags, comments and markup cut off are taken as browsers do, roughly."""
     page = page or ""
@@ -92,6 +116,9 @@ def leaf_blocks(page: str | None) -> list[LeafBlock]:
     pieces: list[str] = []
     linked = links_open = unseen = 0
     at = 0
+    head = 0  # depth of the open head
+    choices = 0  # depth of an open list of choices that has no end tag
+    never: dict[str, set[int]] = {}
 
     def flush() -> None:
         nonlocal pieces, linked
@@ -103,12 +130,20 @@ def leaf_blocks(page: str | None) -> list[LeafBlock]:
             pieces, linked = [], 0
 
     def leave(depth: int) -> None:
-        nonlocal links_open, unseen
+        nonlocal links_open, unseen, head, choices
+        head, choices = head if head < depth else 0, choices if choices < depth else 0
         while len(stack) > depth:
             name = stack.pop()[0]
             links_open -= name == "a"
             unseen -= name in UNSEEN
 
+    def end_foreign() -> None:
+        depth = len(stack) - 1
+        while depth and stack[depth][0] not in _FOREIGN_HTML:
+            if stack[depth][0] in ("svg", "math"):
+                leave(depth)
+            depth -= 1
+
     size = len(page)
     while at < size:
         match = _TOKEN.match(page, at) or _LOOSE.match(page, at)  # the latter: a quote that never ends
@@ -118,6 +153,8 @@ def leaf_blocks(page: str | None) -> list[LeafBlock]:
         name = match["name"]
         if name is None:
             text = match["text"]
+            if head and unseen == 1 and text is not None and not text.isspace():
+                leave(head)
             if text is not None and not unseen:
                 pieces.append(text)
                 if links_open:
@@ -125,6 +162,8 @@ def leaf_blocks(page: str | None) -> list[LeafBlock]:
             continue
         name = name.lower()
         if match["close"]:
+            if unseen and name in ("p", "br"):
+                end_foreign()
             depth = len(stack) - 1
             while depth and stack[depth][0] != name:
                 depth -= 1
@@ -133,6 +172,22 @@ def leaf_blocks(page: str | None) -> list[LeafBlock]:
             if depth:
                 leave(depth)
             continue
+        if unseen:
+            if name in _ENDS_FOREIGN:
+                end_foreign()
+            if choices and unseen == 1 and name in _ENDS_CHOICES:
+                leave(choices)
+            if head and unseen == 1 and name not in _IN_HEAD:
+                leave(head)
+        if name == "head" and any(open_name != "html" for open_name, *_ in stack[1:]):
+            continue
+        if name in _FALLBACK or name in _CHOICES:
+            if name not in never:
+                never[name] = _never_closed(page, name)
+            if match.start() in never[name]:
+                if name in _FALLBACK:
+                    continue
+                choices = choices or len(stack)
         if name in BLOCK and not unseen:
             flush()
             closing = _ENDS_ITSELF.get(name, ())
@@ -153,6 +208,8 @@ def leaf_blocks(page: str | None) -> list[LeafBlock]:
         stack.append((name, kinds | own, own or near, name if name in BLOCK else tag))
         links_open += name == "a"
         unseen += name in UNSEEN
+        if name == "head":
+            head = len(stack) - 1
         if name in RAW:  # its text holds no tags
             end = re.compile(rf"</{name}\b[^>]*>?", re.IGNORECASE).search(page, at)
             at = end.end() if end else size

@@ -70,6 +70,34 @@ def test_blocks_survive_bad_markup():
     assert html_blocks.leaf_blocks(None) == []
 
 
+@pytest.mark.parametrize("start", ["<body>", "<body><p>", "<div>", "<img src=x>", "<a href=/>", ""])
+def test_an_open_head_ends_where_the_body_starts(start):
+    page = f"<html><head><meta charset=utf-8><title>no</title><script>no()</script>\n<style>no</style><noscript>no</noscript>{start}Text <p>more</html>"
+    assert html_blocks.visible_text(page) == "Text\nmore"
+    assert html_blocks.visible_text(page.replace(start + "Text", "</head>" + start + "Text")) == "Text\nmore"
+    assert html_blocks.visible_text("<html><head><title>no</title><p>a</p><head><p>b") == "a\nb"
+    assert html_blocks.visible_text(f"<head><noscript><link rel=x>{start}Text") == "Text"
+
+
+def test_whole_text_of_a_page_without_end_of_head():
+    texts = html_crf.main_texts(html_crf.trained_model(), [PAGE, PAGE.replace("<body>", "<head><meta name=a><title>T</title><body>")])
+    assert texts[0] == texts[1] != ""
+
+
+@pytest.mark.parametrize("name", ["noscript", "svg", "math", "object", "select", "datalist", "canvas", "audio", "video", "map"])
+def test_open_unseen_elements_do_not_swallow_the_page(name):
+    inside = "<option>no" if name in ("select", "datalist") else "<path d=x>" if name in ("svg", "math") else ""
+    assert html_blocks.visible_text(f"<div>a<{name} id=x>{inside}<p>b</p>c</div><p>d") == "a\nb\nc\nd"
+    closed = f"<{name}>no</{name}>"
+    assert html_blocks.visible_text(f"<div>a<{name}>{inside}<p>b{closed}</p>c</div>") == "a\nb\nc"
+    assert html_blocks.visible_text(f"<div>a{closed}<p>b</p></div>") == "a\nb"
+
+
+def test_html_within_foreign_content_stays_unseen():
+    assert html_blocks.visible_text("a<svg><foreignObject><p>no</p></foreignObject><text>no</text></svg>b") == "ab"
+    assert html_blocks.visible_text("a<video><p>no</p></video>b<select><option>no</select>c") == "abc"
+
+
 def test_held_out_pages_are_labelled_right():
     model, wrong, blocks = html_crf.trained_model(), 0, 0
     for seed in range(50_000, 50_200):

@@ -59,7 +59,8 @@ class CapacityTree:
 def plan_packing(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:
     """Rows (length, first rank, pieces, first sequence, offset) that place every piece by best fit, longest first.
 
-    Ranks ``first .. first + pieces - 1`` go to as many sequences in a row, all at the same offset.
+    Ranks ``first .. first + pieces - 1`` go to as many sequences in a row, all at the same offset. A sequence that took a piece
+    is then the tightest for the next as long as it fits, so each is filled as deep as it goes.
     """
     tree = CapacityTree(capacity)
     runs: dict[int, deque] = defaultdict(deque)  # by remaining capacity: (first sequence, sequences)
@@ -87,14 +88,16 @@ def plan_packing(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple
                 sequences += wide
                 continue
             first, count = runs[remaining].popleft()
-            taken = min(count, left)
-            if taken < count:
-                runs[remaining].appendleft((first + taken, count - taken))
-            tree.add(remaining, -taken)
-            rows.append((length, rank, taken, first, capacity - remaining))
-            rank += taken
-            left -= taken
-            open_run(remaining - length, first, taken)
+            deep = min(remaining // length, left)
+            wide = min(count, left // deep)
+            if wide < count:
+                runs[remaining].appendleft((first + wide, count - wide))
+            tree.add(remaining, -wide)
+            for level in range(deep):
+                rows.append((length, rank, wide, first, capacity - remaining + level * length))
+                rank += wide
+            left -= deep * wide
+            open_run(remaining - deep * length, first, wide)
     return rows
 
 

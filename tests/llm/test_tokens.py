@@ -151,6 +151,24 @@ def test_plan_is_best_fit_decreasing(seed):
     assert sorted(capacity - u for u in used.values()) == plain_best_fit(lengths, capacity)
 
 
+@pytest.mark.parametrize("seed", range(40))
+def test_plan_of_few_lengths_is_best_fit_decreasing(seed):
+    rng = random.Random(seed)
+    capacity = rng.choice([100, 2048])
+    counts = {rng.randint(1, capacity // rng.choice([1, 3, 9])): rng.randint(1, 90) for _ in range(rng.randint(1, 6))}
+    if not seed:
+        capacity, counts = 100, {51: 2, 24: 2, 16: 3}
+    used, ranks = {}, {n: [] for n in counts}
+    for length, first, number, sequence, offset in packing.plan_packing(counts, capacity):
+        ranks[length] += range(first, first + number)
+        for s in range(sequence, sequence + number):
+            assert used.get(s, 0) == offset
+            used[s] = offset + length
+    assert all(sorted(r) == list(range(counts[n])) for n, r in ranks.items())
+    assert sorted(capacity - u for u in used.values()) == plain_best_fit([n for n, c in counts.items() for _ in range(c)], capacity)
+    assert seed or len(used) == 2
+
+
 def check_packing(rows, docs, library, capacity):
     by_doc, by_sequence = {}, {}
     for r in rows:

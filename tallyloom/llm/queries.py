@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, html_crf, language_id, near_embeddings, ngram_join, packing, quality_crf, sharding, token_store, topk
+from tallyloom.llm import (
+    block_anchors, bpe, conversations, html_crf, language_id, near_embeddings, ngram_join, packing, phrases, quality_crf, sharding, token_store, topk,
+)
 from tallyloom.llm.html_blocks import visible_text
 from tallyloom.session import scratch_path
 
@@ -87,3 +89,19 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-store")
     token_store.write_tokens(table(spark, sf_dir, "documents"), folder)
     return token_store.read_documents(spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_anchors.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = conversations.damage(table(spark, sf_dir, "conversations"))
+    return conversations.repair_structure(damaged).withColumnRenamed("id", "conv_id")

@@ -31,7 +31,8 @@ from tallyloom.session import park
 
 KINDS = byte_kinds(b" \t\n\x0b\x0c\r")
 WINDOW = 35
-HASHES_A_PART = 4_000_000
+HASHES_A_PART = 1_500_000
+SLICE_BYTES = 2_000_000
 _FACTORS = [0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93]  # odd
 _MIX = [np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)]
 _POWERS: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
@@ -175,18 +176,21 @@ def _answer(parts: int, kind):
     def merge(table: pa.Table) -> pa.Table:
         if table["part"][0].as_py() >= parts:
             return table
-        owners = [_numbers(x) for x in table["owners"].to_pylist()]
-        slices = np.repeat(table["slice"].to_numpy(), [len(x) for x in owners])
+        part, names = table["part"][0].as_py(), table["slice"].to_numpy()
+        owners = [_numbers(x).astype(np.uint32) for x in table["owners"].to_pylist()]
+        row = np.repeat(np.arange(len(owners), dtype=np.uint32), [len(x) for x in owners])
         owner, hashes = np.concatenate(owners), np.frombuffer(b"".join(table["hashes"].to_pylist()), dtype=kind)
-        marks, plain = hashes & kind(3), hashes & ~kind(3)
-        order = np.argsort(plain)
-        heads = _heads(plain[order])
-        runs = np.diff(np.append(heads, len(order)))
-        met = np.bitwise_or.reduceat(marks[order], heads)
+        del table, owners
+        order = np.argsort(hashes)  # the marks are the low bits, so equal hashes lie together
+        plain = hashes[order] & ~kind(3)
+        heads = _heads(plain)
+        runs = np.diff(np.append(heads, len(plain)))
+        met = np.bitwise_or.reduceat(hashes[order] & kind(3), heads)
         good = order[np.repeat(((met & kind(ANCHOR)) > 0) & ((runs > 1) | ((met & kind(SEVERAL)) > 0)), runs)]
-        good = good[np.lexsort((owner[good], slices[good]))]
-        part = np.full(len(good), table["part"][0].as_py())
-        return pa.Table.from_arrays(_batch(_rows(part, slices[good], owner[good], plain[good])), MEETING_NAMES)
+        del order, plain
+        good = good[np.lexsort((owner[good], names[row[good]]))]
+        rows = _rows(np.full(len(good), part), names[row[good]], owner[good], hashes[good] & ~kind(3))
+        return pa.Table.from_arrays(_batch(rows), MEETING_NAMES)
 
     return merge
 
@@ -250,7 +254,7 @@ def _listed(column: pa.Array, kind) -> tuple[np.ndarray, np.ndarray]:
 def _slices(batches, column: int):
     """(number, rows): slices of texts with a number that no other task's slices have."""
     task = TaskContext.get().partitionId()
-    for n, batch in enumerate(text_slices(batches, column)):
+    for n, batch in enumerate(text_slices(batches, column, SLICE_BYTES)):
         yield task << 32 | n, batch
 
 
@@ -327,7 +331,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     schema = f"{id_column} {kind}, n_words long, n_removed long, kept_sha256 string"
 
     def settle(batches):
-        for batch in text_slices(batches, 1):
+        for batch in text_slices(batches, 1, SLICE_BYTES):
             texts = Texts(batch.column(1))
             removed = np.zeros(len(texts.hashes), dtype=bool)
             if batch.num_columns > 2:

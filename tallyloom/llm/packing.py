@@ -19,7 +19,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.encoder import END_ID, batches_of_text, encoder
+from tallyloom.llm.encoder import END_ID, encoder
+from tallyloom.llm.words import text_slices
 from tallyloom.session import park
 
 CAPACITY = 2048
@@ -125,23 +126,21 @@ def encode_pieces(
 
     def cut(batches):
         enc, task, seen = encoder(path), TaskContext.get().partitionId(), defaultdict(int)
-        for batch in batches:
-            for start, texts in batches_of_text(batch.column(1)):
-                owner, out = [], []
-                for at, ids in enumerate(enc.encode(texts)):
-                    ids += tail
-                    for piece, (first, length) in enumerate(cut_points(len(ids) // 4, capacity)):
-                        if not length:
-                            continue
-                        own = ids[4 * first : 4 * (first + length)]
-                        owner.append(at)
-                        out.append((piece, first, length, zlib.crc32(own), task, seen[length], own))
-                        seen[length] += 1
-                here = batch.column(0).slice(start, len(texts)).take(pa.array(owner, pa.int64()))
-                columns = list(zip(*out)) or [()] * 7
-                types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
-                arrays = [here, *(pa.array(c, t) for c, t in zip(columns, types))]
-                yield pa.RecordBatch.from_arrays(arrays if keep_ids else arrays[:-1], names)
+        for part in text_slices(batches, 1):
+            owner, out = [], []
+            for at, ids in enumerate(enc.encode_rows(part.column(1), tail)):
+                for piece, (first, length) in enumerate(cut_points(len(ids) // 4, capacity)):
+                    if not length:
+                        continue
+                    own = ids[4 * first : 4 * (first + length)]
+                    owner.append(at)
+                    out.append((piece, first, length, zlib.crc32(own), task, seen[length], own))
+                    seen[length] += 1
+            here = part.column(0).take(pa.array(owner, pa.int64()))
+            columns = list(zip(*out)) or [()] * 7
+            types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+            arrays = [here, *(pa.array(c, t) for c, t in zip(columns, types))]
+            yield pa.RecordBatch.from_arrays(arrays if keep_ids else arrays[:-1], names)
 
     names = [id_column, "piece", "start", "length", "ids_crc32", "task", "task_rank", "ids"][: 8 if keep_ids else 7]
     schema = f"{id_column} {kind}, piece int, start long, length long, ids_crc32 long, task int, task_rank long"

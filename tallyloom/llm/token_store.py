@@ -22,7 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.encoder import END_ID, batches_of_text, encoder, load_tokenizer, vocabulary_path
+from tallyloom.llm.encoder import END_ID, encoder, load_tokenizer, vocabulary_path
+from tallyloom.llm.words import text_slices
 from tallyloom.session import park
 
 MAGIC, TRAILER = b"TLTOKEN1", b"TLTOKEND"
@@ -160,19 +161,17 @@ def write_tokens(
         first, keys, occurrences, payloads, held, seen = 0, [], [], [], 0, 0
         last: object = shards  # no key yet
         tail = b"" if end_id is None else struct.pack("<I", end_id)
-        for batch in batches:
-            for start, texts in batches_of_text(batch.column(1)):
-                here = batch.column(0).slice(start, len(texts)).to_pylist()
-                for key, ids in zip(here, enc.encode(texts)):
-                    seen = seen + 1 if key == last else 0
-                    last = key
-                    keys.append(key)
-                    occurrences.append(seen)
-                    payloads.append(ids + tail)
-                    held += len(payloads[-1]) // 4
-                    if held >= shard_ids:
-                        yield _record(pack_shard(first, keys, occurrences, payloads, id_bytes))
-                        first, keys, occurrences, payloads, held = first + len(keys), [], [], [], 0
+        for part in text_slices(batches, 1):
+            for key, ids in zip(part.column(0).to_pylist(), enc.encode_rows(part.column(1), tail)):
+                seen = seen + 1 if key == last else 0
+                last = key
+                keys.append(key)
+                occurrences.append(seen)
+                payloads.append(ids)
+                held += len(ids) // 4
+                if held >= shard_ids:
+                    yield _record(pack_shard(first, keys, occurrences, payloads, id_bytes))
+                    first, keys, occurrences, payloads, held = first + len(keys), [], [], [], 0
         if keys:
             yield _record(pack_shard(first, keys, occurrences, payloads, id_bytes))
 

@@ -15,6 +15,7 @@ from tallyloom.session import scratch_path
 from tallyloom.sources import adapters
 from tallyloom.sources.documents import assemble_documents
 from tallyloom.sources.files import create_table_as, rewrite_table
+from tallyloom.streaming import changes
 from tallyloom.streaming.refresh import compact_index, current_index, freshness, refresh_index
 
 # The test texts have line breaks but no blank lines.
@@ -1008,3 +1009,63 @@ def _(spark, sf):
         F.col("vec_id").alias("chunk_id"), F.lit(1).alias("version")
     )
     return freshness(first, current_index(spark, index, now.schema))
+
+
+def _overwritten(spark, sf):
+    """The vectors as a table that is overwritten twice, and the feed and index that follow it.
+
+    The second state lacks every seventh row, has other labels on some and holds new ones; the third brings some of the lost ones back.
+    """
+    first = adapters.table(spark, sf, "embeddings").select(F.col("vec_id").alias("chunk_id"), "label", "embedding")
+    second = first.where("chunk_id % 7 <> 0").withColumn(
+        "label", F.when(F.element_at("embedding", 1) > 0, F.col("label") + 100).otherwise(F.col("label"))
+    )
+    added = first.where("chunk_id % 11 = 0").withColumn("chunk_id", F.col("chunk_id") + 1_000_000)
+    second = second.unionByName(added)
+    third = second.unionByName(first.where("chunk_id % 21 = 0"))
+    source, state, index, checkpoint = (scratch_path(spark, p) for p in ("feed", "state", "index", "progress"))
+    for table in (first, second, third, third):
+        changes.deliver_changes(table, source, state)
+        refresh_index(spark, source, index, checkpoint, changes.feed_schema(table))
+    return first, second, third, source, index
+
+
+_LABEL_NOW = "CASE WHEN embedding[1] > 0 THEN label + 100 ELSE label END"
+
+
+@check(
+    "r1_change_feed",
+    f"""SELECT version, deleted, vec_id AS chunk_id, label FROM (
+  SELECT 1 AS version, false AS deleted, vec_id, label FROM embeddings
+  UNION ALL SELECT 2, true, vec_id, NULL FROM embeddings WHERE vec_id % 7 = 0
+  UNION ALL SELECT 2, false, vec_id, label + 100 FROM embeddings WHERE vec_id % 7 <> 0 AND embedding[1] > 0
+  UNION ALL SELECT 2, false, vec_id + 1000000, label FROM embeddings WHERE vec_id % 11 = 0
+  UNION ALL SELECT 3, false, vec_id, label FROM embeddings WHERE vec_id % 21 = 0)""",
+)
+def _(spark, sf):
+    first, _, _, source, _ = _overwritten(spark, sf)
+    return spark.read.schema(changes.feed_schema(first)).parquet(source).select("version", "deleted", "chunk_id", "label")
+
+
+@check(
+    "r1_change_feed_index",
+    f"""SELECT vec_id AS chunk_id, {_LABEL_NOW} AS label FROM embeddings WHERE vec_id % 7 <> 0
+UNION ALL SELECT vec_id + 1000000, label FROM embeddings WHERE vec_id % 11 = 0
+UNION ALL SELECT vec_id, label FROM embeddings WHERE vec_id % 21 = 0""",
+)
+def _(spark, sf):
+    first, _, _, _, index = _overwritten(spark, sf)
+    return current_index(spark, index, changes.feed_schema(first)).select("chunk_id", "label")
+
+
+@check(
+    "r1_snapshot_changes",
+    f"""SELECT change, count(*) AS n, sum(vec_id) AS ids FROM (
+  SELECT CASE WHEN vec_id % 7 = 0 THEN 'delete' ELSE 'update' END AS change, vec_id FROM embeddings
+  WHERE vec_id % 7 = 0 OR embedding[1] > 0
+  UNION ALL SELECT 'insert', vec_id + 1000000 FROM embeddings WHERE vec_id % 11 = 0) GROUP BY ALL""",
+)
+def _(spark, sf):
+    first, second, *_ = _overwritten(spark, sf)
+    found = changes.snapshot_changes(first, second, "chunk_id")
+    return found.groupBy("change").agg(F.count("*").alias("n"), F.sum("chunk_id").alias("ids"))

@@ -302,3 +302,16 @@ def test_pipeline_query(spark, sf_dir):
     assert corpus_pipeline.ORACLE_SQL is None
     rows = corpus_pipeline.run(spark, sf_dir)
     assert rows.columns[:3] == ["doc_id", "piece", "start"] and rows.count() > 0
+
+
+def test_pipeline_keeps_other_texts_of_repeated_ids(spark, documents, sf_dir):
+    words = lambda seed: " ".join(f"w{seed}x{i}" for i in range(40))
+    rows = [(1, words(1)), (7, words(1)), (7, words(7)), (9, words(9)), (9, words(90)), (9, words(9)), (12, words(90)), (None, words(9)), (13, None), (13, "")]
+    left = corpus_pipeline.drop_near_duplicates(spark, documents(rows).repartition(4), sf_dir)
+    assert left.columns == documents(rows).columns
+    found = sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str)
+    kept = {(i, t) for i, t in found}
+    assert len(found) == len(kept)
+    assert {t for _, t in found if t} == {words(n) for n in (1, 7, 9, 90)}
+    assert {(1, words(1)), (7, words(7)), (None, words(9)), (13, None), (13, "")} <= kept and (7, words(1)) not in kept
+    assert sum(t == words(90) for _, t in found) == 1 and sum(t == words(9) for i, t in found if i) == 1

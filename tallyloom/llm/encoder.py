@@ -23,7 +23,7 @@ from tokenizers import Tokenizer  # noqa: E402
 from tallyloom.llm.words import text_buffers  # noqa: E402
 
 VOCABULARY = "byte_bpe_50k.json"
-MEMO_PIECES = 800_000
+MEMO_PIECES = 600_000
 TEXT_CHARS_AT_ONCE = 1_000_000
 END_ID = 0
 
@@ -161,8 +161,9 @@ class MemoEncoder:
         kept = self.met > 1
         if kept.sum() > 0.8 * self.memo_pieces:
             kept[:] = False
-        pieces, slots = zip(*[(p, s) for p, s in self.memo.items() if kept[s]]) if kept.any() else ((), ())
-        slots = np.array(slots, dtype=np.int64)
+        slots = np.fromiter(self.memo.values(), np.int64, len(self.memo))
+        slots = slots[kept[slots]]
+        pieces = [piece for piece, slot in self.memo.items() if kept[slot]]
         lengths = (self.ends - self.starts)[slots]
         stops = np.cumsum(lengths)
         total = int(stops[-1]) if len(stops) else 0

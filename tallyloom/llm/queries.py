@@ -8,13 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import (
-    block_anchors, bpe, conversations, html_crf, language_id, near_embeddings, ngram_join, packing, phrases, quality_crf, sharding, token_store, topk,
+    block_anchors, bpe, conversations, html_crf, language_id, near_embeddings, ngram_join, oracles, packing, phrases, quality_crf, sharding, token_store, topk,
 )
 from tallyloom.llm.html_blocks import visible_text
 from tallyloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+#: Tokenizers, trained models, placements and grammar repair cannot be said in SQL; those queries are tested against brute force.
+ORACLES: dict[str, str] = {
+    "op2_exact_top_k": oracles.top_k_sql(),
+    "op5_near_embeddings": oracles.near_embeddings_sql(),
+    "op9_ngram_jaccard": oracles.ngram_jaccard_sql(),
+    "op11_phrase_collocations": oracles.collocations_sql(),
+    "op12_substring_dedup": oracles.substring_dedup_sql(),
+}
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

@@ -635,11 +635,17 @@ cte("lines_typed", _lines("hits_typed", "chunk_text", _HIT_LINE))
 cte("hits_digest", _hits(3, "true", "scored_search"))
 
 
-def corpus(spark, sf):
-    """The answers' corpus with vectors, and the embedder of its questions."""
+def corpus_model(spark, sf):
+    """The answers' corpus with vectors, and their model."""
     rows = adapters.answer_corpus(spark, sf)
     model = v.fit_embedder(rows, "chunk_text", _DIM)
-    return v.embed(rows, "chunk_text", model), answers.embed_with(model)
+    return v.embed(rows, "chunk_text", model), model
+
+
+def corpus(spark, sf):
+    """The answers' corpus with vectors, and the embedder of its questions."""
+    held, model = corpus_model(spark, sf)
+    return held, answers.embed_with(model)
 
 
 def _answered(ask, spark, sf, **options):

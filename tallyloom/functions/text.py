@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 # space and four ASCII separators. The flags make \s mean the former and let a dot match a line end.
 _FLAGS = "(?Us)"
 SPACE = r"[\s\x1c-\x1f]"
-_SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 # A white space between a letter and a lower-case letter. The space comes first in the pattern, so
 # the letter before it is looked at only where there is one.
 _SPLIT_WORD = f"{_FLAGS}{SPACE}(?<=[A-Za-z].)(?=[a-z])"
@@ -25,7 +25,7 @@ def _col(column: Column | str) -> Column:
 
 def strip(column: Column | str) -> Column:
     """Remove any white space, line breaks included, from both ends."""
-    return F.trim(_col(column), F.lit(_SPACES))
+    return F.trim(_col(column), F.lit(SPACES))
 
 
 def _without_marks(text: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,6 +25,8 @@ DEFAULT_K = 5
 QUESTIONS_PER_TILE = 2048
 # Similarities are compared at this many decimals; equal ones are ordered by id.
 SCORE_DECIMALS = 6
+# A task remembers the buckets of at most so many words.
+REMEMBERED_WORDS = 500_000
 # The cell index: cells, and how many of the nearest are looked into. Nearly isotropic vectors need
 # three quarters of the cells for nine in ten of the true hits; clustered ones need fewer.
 CELLS = 32
@@ -41,19 +43,31 @@ class TermModel:
     idf: tuple[float, ...]
 
 
-def _term_buckets(text: str, dim: int) -> list[int]:
-    """The bucket of every word: the first 32 bits of its md5, modulo ``dim``."""
-    return [int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % dim for w in _WORD.findall(text.lower())]
+class _Buckets(dict):
+    """The bucket of a word: the first 32 bits of its md5, modulo ``dim``; a word is hashed once while it is remembered."""
+
+    def __init__(self, dim: int):
+        super().__init__()
+        self.dim = dim
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= REMEMBERED_WORDS:
+            self.clear()
+        bucket = self[word] = int.from_bytes(hashlib.md5(word.encode()).digest()[:4]) % self.dim
+        return bucket
+
+    def of_text(self, text: str) -> list[int]:
+        return [self[word] for word in _WORD.findall(text.lower())]
 
 
 def fit_embedder(df: DataFrame, text: str, dim: int = EMBEDDING_DIM) -> TermModel:
     """Count in how many texts each bucket occurs; ``dim`` counts come to the driver."""
 
     def seen(batches):
-        counts, rows = np.zeros(dim, dtype=np.int64), 0
+        counts, rows, buckets = np.zeros(dim, dtype=np.int64), 0, _Buckets(dim)
         for batch in batches:
             for value in batch.column(0).to_pylist():
-                counts[list(set(_term_buckets(value or "", dim)))] += 1
+                counts[list(set(buckets.of_text(value or "")))] += 1
                 rows += 1
         yield pa.RecordBatch.from_arrays(
             [pa.array([*range(dim), dim]), pa.array([*counts.tolist(), rows], pa.int64())], ["bucket", "n"]
@@ -72,16 +86,18 @@ def embed(df: DataFrame, text: str, model: TermModel, out: str = "embedding") ->
     """
     dim, idf = model.dim, np.array(model.idf)
 
-    def vector(value: str | None) -> list[float]:
+    def vector(value: str | None, buckets: _Buckets) -> list[float]:
         if value is None or not value.strip():
             return []
-        weights = np.bincount(np.array(_term_buckets(value, dim), dtype=np.int64), minlength=dim) * idf
+        weights = np.bincount(np.array(buckets.of_text(value), dtype=np.int64), minlength=dim) * idf
         norm = math.sqrt(weights @ weights)
         return (weights / norm if norm else weights).astype(np.float32)
 
     @F.pandas_udf("array<float>")
-    def vectors(texts: pd.Series) -> pd.Series:
-        return texts.map(vector, na_action=None)
+    def vectors(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        buckets = _Buckets(dim)
+        for texts in batches:
+            yield texts.map(lambda text: vector(text, buckets), na_action=None)
 
     return df.withColumn(out, vectors(F.col(text).cast("string")))
 

@@ -81,7 +81,9 @@ def store_answer_index(emb: DataFrame, model: TermModel, folder: str) -> None:
     spark = emb.sparkSession
     ordered = postings(emb).repartitionByRange("bucket", "chunk_id").sortWithinPartitions("bucket", "chunk_id")
     ordered.write.partitionBy("bucket").mode("overwrite").parquet(f"{folder}/postings")
-    answer_lines(emb).repartitionByRange("chunk_id").sortWithinPartitions("chunk_id", "line_no").write.mode("overwrite").parquet(f"{folder}/lines")
+    # Texts are dealt out before their lines are made, so that the many conditions on a line run once and in all tasks.
+    lines = answer_lines(emb.select("chunk_id", "chunk_text").repartition("chunk_id"))
+    lines.sortWithinPartitions("chunk_id", "line_no").write.mode("overwrite").parquet(f"{folder}/lines")
     first_chunks(emb).write.mode("overwrite").parquet(f"{folder}/first")
     weights = spark.createDataFrame([(b, w) for b, w in enumerate(model.idf)], "bucket int, weight double")
     weights.coalesce(1).write.mode("overwrite").parquet(f"{folder}/weights")

@@ -116,19 +116,24 @@ def _text(value: str) -> str:
     return json.dumps(value)
 
 
-def _hits(view: str, terms: str, wanted: str, k: int) -> str:
-    """chunk_id and rank of the ``k`` best chunks for a question's terms; ties go to smaller ids."""
+def _hits(view: str, terms: str, wanted: str, k: int, first: str | None) -> str:
+    """chunk_id and rank of the ``k`` best chunks for a question's terms; ties go to smaller ids.
+
+    ``first`` is an array of the first ids where the type asked for is known; else they are met by type.
+    """
     asked = (
         f"SELECT {terms} AS terms,"
         f" CASE WHEN lower({wanted}) = 'all' THEN {_text(ANY_TYPE)} ELSE coalesce({wanted}, {_text(ANY_TYPE)}) END AS wanted"
     )
+    some = f"(SELECT wanted FROM ({asked}) WHERE size(terms) > 0) a"
+    fill = f"{some} LATERAL VIEW explode({first}) e AS chunk_id" if first else f"{some} JOIN {view}_first f ON f.wanted = a.wanted"
     found = f"""
 SELECT p.chunk_id, round(sum(p.weight * t.u), {SCORE_DECIMALS}) AS score
 FROM (SELECT wanted, term.bucket AS bucket, term.u AS u FROM ({asked}) LATERAL VIEW explode(terms) e AS term) t
 JOIN {view}_postings p ON p.bucket = t.bucket AND (t.wanted = {_text(ANY_TYPE)} OR p.doc_type = t.wanted)
 GROUP BY p.chunk_id
 UNION ALL
-SELECT f.chunk_id, 0.0D AS score FROM (SELECT wanted FROM ({asked}) WHERE size(terms) > 0) a JOIN {view}_first f ON f.wanted = a.wanted"""
+SELECT chunk_id, 0.0D AS score FROM {fill}"""
     best = f"SELECT chunk_id, max(score) AS score FROM ({found}) GROUP BY chunk_id ORDER BY score DESC, chunk_id LIMIT {k}"
     return f"SELECT chunk_id, row_number() OVER (ORDER BY score DESC, chunk_id) AS rank FROM ({best})"
 
@@ -201,13 +206,20 @@ def register_answers(spark: SparkSession, folder: str, name: str = "rag_{}_raw",
     tables["postings"] = spark.read.schema(f"chunk_id {chunk_id}, doc_type string, weight double, bucket int").parquet(f"{folder}/postings")
     for table, rows in tables.items():
         rows.createOrReplaceTempView(f"{view}_{table}")
+    of_known = tables["first"].where(F.col("wanted").isin(ANY_TYPE, "product_spec", "discount_policy"))  # FIRST_IDS rows each
+    first_ids: dict[str, list[str]] = {}
+    for row in of_known.select("wanted", F.col("chunk_id").cast("string").alias("id")).collect():
+        first_ids.setdefault(row.wanted, []).append(row.id)
     held = spark.read.parquet(f"{folder}/weights").orderBy("bucket").collect()
     weights = f"array({', '.join(f'{r.weight!r}D' for r in held)})"
     bucket = f"CAST(pmod(CAST(conv(substr(md5(w), 1, 8), 16, 10) AS BIGINT), {len(held)}) AS INT)"
     def hits(question: str, wanted: str, k: int) -> str:
         # The same steps as in embedding: counts times rarity at unit length, stored in single precision, then compared at unit length.
         terms = _unit(_single(_unit(_counted(_buckets(question, bucket), weights))))
-        return _hits(view, terms, _text(wanted) if wanted != "doc_type" else wanted, k)
+        if wanted == "doc_type":
+            return _hits(view, terms, wanted, k, None)
+        first = ", ".join(f"CAST({_text(i)} AS {chunk_id})" for i in first_ids.get(wanted, ()))
+        return _hits(view, terms, _text(wanted), k, f"CAST(array({first}) AS ARRAY<{chunk_id}>)")
 
     def asked(kind: str, arguments: str) -> str:
         return f"concat({_text(words.QUESTION_PREFIXES[kind])}, {arguments})"

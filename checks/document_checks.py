@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import check, cte
 from tallyloom.functions import wordlists as words
+from tallyloom.operators import cells
 from tallyloom.operators import text as t
 from tallyloom.operators import vectors as v
 from tallyloom.operators.audits import embedding_audit
@@ -547,6 +548,41 @@ def _(spark, sf):
     return _recall(v.similarity_topk_batch(held, asked, 10), near)
 
 
+# The trained cells: the exact search from the two nearest of sixteen cells on, and how much of its hits the nearest twelve hold.
+cte("hits_typed_7", _hits(7, "asked_type = 'All' OR asked_type = doc_type"))
+cte(
+    "hits_of_chunks",
+    """SELECT q.chunk_id AS query_id, c.chunk_id AS hit_id FROM emb_chunks q CROSS JOIN emb_chunks c WHERE q.chunk_id % 20 = 0
+QUALIFY row_number() OVER (PARTITION BY q.chunk_id
+  ORDER BY round(list_cosine_similarity(c.embedding::double[], q.embedding::double[]), 6) DESC, c.chunk_id) <= 10""",
+)
+
+
+def _trained(spark, held):
+    return cells.train_cells(held, 64, scratch_path(spark, "trained-cells"), 4, 4)
+
+
+@check("v5_trained_cells_exact", f"SELECT query_id, {_HIT} FROM hits_typed_7")
+def _(spark, sf):
+    asked = questions(spark, sf).select("query_id", "qvec", F.col("doc_type").alias("doc_filter"))
+    return _trained(spark, emb(spark, sf)).search(asked, 7, probed=2, exact=True)
+
+
+@check(
+    "v5_trained_cells_recall",
+    "SELECT count(*) AS hits, sum(hit_id)::bigint AS id_sum, true AS enough FROM hits_of_chunks",
+)
+def _(spark, sf):
+    held = emb(spark, sf)
+    asked = held.where("chunk_id % 20 = 0").select(F.col("chunk_id").alias("query_id"), F.col("embedding").alias("qvec"))
+    index, ids = _trained(spark, held), ["query_id", "chunk_id"]
+    near = index.search(asked, 10, probed=12).select(*ids, F.lit(1).alias("found"))
+    true = index.search(asked, 10, probed=2, exact=True).select(*ids)
+    return true.join(near, ids, "left").agg(
+        F.count("*").alias("hits"), F.sum("chunk_id").alias("id_sum"), (F.count("found") >= 0.9 * F.count("*")).alias("enough")
+    )
+
+
 # --- embedding and retrieval -------------------------------------------------------------------
 
 _DIM = 128

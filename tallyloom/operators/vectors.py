@@ -21,8 +21,9 @@ from tallyloom.session import park
 
 EMBEDDING_DIM = 1024
 DEFAULT_K = 5
-# A tile of questions holds about so many; each tile meets every tile of chunks.
+# A tile of questions and a tile of chunks hold about so many; each tile meets every tile of chunks.
 QUESTIONS_PER_TILE = 2048
+CHUNKS_PER_TILE = 4096
 # Similarities are compared at this many decimals; equal ones are ordered by id.
 SCORE_DECIMALS = 6
 # A task remembers the buckets of at most so many words.
@@ -183,7 +184,7 @@ def similarity_topk_batch(emb: DataFrame, questions: DataFrame, k: int | None =
     """
     spark = emb.sparkSession
     asked = _asked(questions, k)
-    tiles = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tiles = max(int(spark.conf.get("spark.sql.shuffle.partitions")), emb.count() // CHUNKS_PER_TILE + 1)
     asked_tiles = asked.count() // QUESTIONS_PER_TILE + 1
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     hashed = lambda c, n: F.pmod(F.xxhash64(F.col(c).cast("string")), F.lit(n)).cast("int")
@@ -317,10 +318,11 @@ def search_cells(index: CellIndex, questions: DataFrame, k: int | None = DEFAULT
     return _ranked(scored).select("query_id", "rank", "score", *kept)
 
 
-def nearest_chunks(corpus: DataFrame | CellIndex, questions: DataFrame, k: int | None = DEFAULT_K) -> DataFrame:
-    """Exact search over a frame of vectors, or search over an index of them."""
-    search = search_cells if isinstance(corpus, CellIndex) else similarity_topk_batch
-    return search(corpus, questions, k)
+def nearest_chunks(corpus, questions: DataFrame, k: int | None = DEFAULT_K) -> DataFrame:
+    """Exact search over a frame of vectors, or search over an index of them: a ``CellIndex`` or ``cells.TrainedCells``."""
+    if isinstance(corpus, DataFrame):
+        return similarity_topk_batch(corpus, questions, k)
+    return search_cells(corpus, questions, k) if isinstance(corpus, CellIndex) else corpus.search(questions, k)
 
 
 _HIT_SCHEMA = "array<struct<" + ",".join(f"{c}:string" for c in HIT_COLUMNS) + ">>"

@@ -56,6 +56,63 @@ def surrogate_key(df: DataFrame, order: Sequence[str | Column], name: str) -> Da
     )
 
 
+def _ranged_by_value(df: DataFrame, value: str, before: Sequence[str] = ()) -> DataFrame:
+    """Ranges of falling ``value``, NULL last. Rows that tie are spread by a hash of the whole row, so they may fill several ranges."""
+    hashed = [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
+    return _by_range(df, [*(F.col(c) for c in before), F.col(value).desc(), F.xxhash64(*hashed)])
+
+
+def _with_rank(ranged: DataFrame, value: str, name: str, partition: Sequence[str], dense: bool) -> DataFrame:
+    """Add the rank by falling ``value`` within ``partition`` to rows in ranges of falling ``value``.
+
+    A group's rows in a range are ranked there. From one range to the next go a group's rows, distinct values, last value and that value's
+    rank so far: a row for each group and range, which only such rows meet as have some of their group in an earlier range.
+    """
+    group = F.struct(*partition) if partition else F.struct(F.lit(0))
+    inside = Window.partitionBy("_range", "_group").orderBy(F.col(value).desc())
+    local = (
+        ranged.withColumn("_group", group)
+        .withColumn("_step", F.dense_rank().over(inside))
+        .withColumn("_local", F.rank().over(inside))
+    )
+    pieces = local.groupBy("_range", "_group").agg(
+        F.count("*").alias("n"),
+        F.max("_step").alias("steps"),
+        F.max("_local").alias("last_local"),
+        F.min_by(value, "_place").alias("first"),
+        F.max_by(value, "_place").alias("last"),
+    )
+    ranges = Window.partitionBy("_group").orderBy("_range")
+    earlier = ranges.rowsBetween(Window.unboundedPreceding, -1)
+    so_far = ranges.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    linked = pieces.select(
+        "*",
+        F.sum("n").over(earlier).alias("_rows_before"),
+        (F.col("first").eqNullSafe(F.lag("last").over(ranges)) & F.lag("n").over(ranges).isNotNull()).cast("int").alias("_goes_on"),
+    )
+    # the rank of a piece's last value, if that value begins in it
+    begins = F.when((F.col("steps") > 1) | (F.col("_goes_on") == 0), F.coalesce("_rows_before", F.lit(0)) + F.col("last_local"))
+    carried = linked.withColumn("begins", begins).select(
+        "_range",
+        "_group",
+        "_rows_before",
+        (F.sum("steps").over(earlier) - F.sum("_goes_on").over(so_far)).alias("_steps_before"),
+        "_goes_on",
+        F.last("begins", ignorenulls=True).over(earlier).alias("_open_rank"),
+    )
+    met = local.join(carried.where("_rows_before is not null"), ["_range", "_group"], "left")
+    if dense:
+        rank = F.col("_step") + F.coalesce("_steps_before", F.lit(0))
+    else:
+        ties_on = (F.col("_goes_on") == 1) & (F.col("_step") == 1)
+        rank = F.when(ties_on, F.col("_open_rank")).otherwise(F.col("_local") + F.coalesce("_rows_before", F.lit(0)))
+    return met.select(*ranged.columns, rank.cast("long").alias(name))
+
+
+def _without_range(ranked: DataFrame) -> DataFrame:
+    return ranked.drop("_row", "_range", "_place")
+
+
 def _ranks(
     df: DataFrame, value: str, name: str, partition: Sequence[str], weight: Column
 ) -> DataFrame:
@@ -81,23 +138,32 @@ def _ranks(
     return placed.select(*keys, (F.col("_before") - F.col("_start") + 1).alias(name))
 
 
-def dense_rank_by(df: DataFrame, value: str, name: str, partition: Sequence[str] = ()) -> DataFrame:
-    """``dense_rank()`` by descending value, within ``partition`` if given; NULL ranks last."""
-    return join_null_safe(df, _ranks(df, value, name, partition, F.lit(1)), [*partition, value])
+def _ranked(df: DataFrame, value: str, name: str, partition: Sequence[str], dense: bool, by_rows: bool) -> DataFrame:
+    if by_rows:
+        return _without_range(_with_rank(_ranged_by_value(df, value, partition), value, name, partition, dense))
+    weight = F.lit(1) if dense else F.count(F.lit(1))
+    return join_null_safe(df, _ranks(df, value, name, partition, weight), [*partition, value])
+
+
+def dense_rank_by(df: DataFrame, value: str, name: str, partition: Sequence[str] = (), by_rows: bool = False) -> DataFrame:
+    """``dense_rank()`` by descending value, within ``partition`` if given; NULL ranks last.
+
+    Distinct values are ranked and joined back, which suits values that repeat. ``by_rows`` ranks the rows themselves in ranges, without a
+    join on the value, which suits values that are nearly unique; a range then holds all copies of a row that is repeated in every
+    column, while other ties are spread. Eager, as ``surrogate_key``.
+    """
+    return _ranked(df, value, name, partition, True, by_rows)
 
 
-def rank_by(df: DataFrame, value: str, name: str, partition: Sequence[str] = ()) -> DataFrame:
-    """``rank()`` by descending value: ties share a rank and leave a gap after them."""
-    count = F.count(F.lit(1))
-    return join_null_safe(df, _ranks(df, value, name, partition, count), [*partition, value])
+def rank_by(df: DataFrame, value: str, name: str, partition: Sequence[str] = (), by_rows: bool = False) -> DataFrame:
+    """``rank()`` by descending value: ties share a rank and leave a gap after them. Otherwise as ``dense_rank_by``."""
+    return _ranked(df, value, name, partition, False, by_rows)
 
 
 def revenue_ranks(products: DataFrame, value: str = "total_revenue") -> DataFrame:
-    """Revenue rank among all products and among those of the same category."""
-    overall = _ranks(products, value, "revenue_rank", [], F.lit(1))
-    in_category = _ranks(products, value, "category_revenue_rank", ["category"], F.lit(1))
-    ranked = join_null_safe(products, overall, [value])
-    return join_null_safe(ranked, in_category, ["category", value])
+    """Revenue rank among all products and among those of the same category, over one stored pass of ranges."""
+    overall = _with_rank(_ranged_by_value(products, value), value, "revenue_rank", [], dense=True)
+    return _without_range(_with_rank(overall, value, "category_revenue_rank", ["category"], dense=True))
 
 
 def lag_growth(

@@ -42,14 +42,60 @@ def test_surrogate_key_equals_global_row_number(numbers, rows):
     assert rows(keyed, "id", "k") == rows(expected, "id", "k")
 
 
+@pytest.mark.parametrize("by_rows", [False, True])
 @pytest.mark.parametrize("partition", [[], ["g"]])
 @pytest.mark.parametrize("ours, built_in", [
     (ranking.dense_rank_by, F.dense_rank), (ranking.rank_by, F.rank),
 ])
-def test_ranks_equal_windows(numbers, rows, partition, ours, built_in):
+def test_ranks_equal_windows(numbers, rows, partition, ours, built_in, by_rows):
     window = Window.partitionBy(*partition).orderBy(F.col("x").desc())
     expected = numbers.withColumn("r", built_in().over(window))
-    assert rows(ours(numbers, "x", "r", partition), "id", "r") == rows(expected, "id", "r")
+    assert rows(ours(numbers, "x", "r", partition, by_rows), "id", "r") == rows(expected, "id", "r")
+
+
+@pytest.mark.parametrize("partition", [[], ["g"], ["g", "h"]])
+@pytest.mark.parametrize("ours, built_in", [
+    (ranking.dense_rank_by, F.dense_rank), (ranking.rank_by, F.rank),
+])
+def test_ties_over_several_ranges(spark, rows, partition, ours, built_in):
+    """Two values hold nearly all rows, so each fills several ranges; NULLs and NaN tie with their like."""
+    data = [(i, i % 2, None if i % 5 else "h", [7.0, 7.0, 7.0, None, None, float("nan"), -0.0, 0.0][i % 8]) for i in range(1500)]
+    data += [(2000, 0, "h", 99.0), (2001, 1, None, -5.0), (2002, None, None, 7.0)]
+    df = spark.createDataFrame(data, "id int, g int, h string, x double").repartition(5)
+    expected = df.withColumn("r", built_in().over(Window.partitionBy(*partition).orderBy(F.col("x").desc())))
+    assert rows(ours(df, "x", "r", partition, by_rows=True), "id", "r") == rows(expected, "id", "r")
+
+
+def test_ranks_of_repeated_rows_and_of_none(spark, rows):
+    df = spark.createDataFrame([(1, "a")] * 40 + [(0, "a")] * 3, "x int, g string")
+    assert rows(ranking.rank_by(df, "x", "r", ["g"], by_rows=True)) == sorted([(0, "a", 41)] * 3 + [(1, "a", 1)] * 40, key=str)
+    assert rows(ranking.dense_rank_by(df.where("false"), "x", "r", by_rows=True)) == []
+
+
+def test_revenue_ranks_equal_windows(numbers, rows):
+    ranked = ranking.revenue_ranks(numbers.withColumnRenamed("g", "category"), "x")
+    desc = F.col("x").desc()
+    expected = numbers.withColumn("a", F.dense_rank().over(Window.orderBy(desc))).withColumn(
+        "b", F.dense_rank().over(Window.partitionBy("g").orderBy(desc))
+    )
+    assert rows(ranked, "id", "revenue_rank", "category_revenue_rank") == rows(expected, "id", "a", "b")
+
+
+def test_ranks_do_not_join_on_the_value(numbers, capsys):
+    ranking.dense_rank_by(numbers, "x", "r", by_rows=True).explain("formatted")
+    joins = [line for line in capsys.readouterr().out.splitlines() if line.startswith(("Left keys", "Right keys"))]
+    assert joins and not any("x#" in line for line in joins)
+
+
+@pytest.mark.parametrize("count, lag", [(0, 7), (1, 7), (5, 7), (23, 7), (400, 7), (400, 1), (60, 30)])
+def test_lag_equals_window(spark, rows, count, lag):
+    """Also where ranges are shorter than the lag, so that a range's rows ahead come from several."""
+    data = [(i * 3, None if i % 9 == 4 else float(i * i % 17)) for i in range(count)]
+    df = spark.createDataFrame(data, "d int, x double").repartition(6)
+    expected = df.withColumn("before", F.lag("x", lag).over(Window.orderBy("d")))
+    ours = ranking.lag_growth(df, "d", "x", lag, "before", "growth")
+    assert ours.columns == ["d", "x", "before", "growth"]
+    assert rows(ours, "d", "x", "before") == rows(expected, "d", "x", "before")
 
 
 def test_shares(spark, rows):

@@ -10,10 +10,11 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from tallyloom.functions.wordlists import QUESTION_PREFIXES
 from tallyloom.operators.text import HIT_COLUMNS
@@ -22,8 +23,11 @@ from tallyloom.session import park
 EMBEDDING_DIM = 1024
 DEFAULT_K = 5
 # A tile of questions and a tile of chunks hold about so many; each tile meets every tile of chunks.
-QUESTIONS_PER_TILE = 2048
-CHUNKS_PER_TILE = 4096
+QUESTIONS_PER_TILE = 8192
+CHUNKS_PER_TILE = 8192
+# Within a tile so many questions are compared at once, and so many pairs are scored in double precision.
+QUESTIONS_AT_ONCE = 256
+PAIRS_AT_ONCE = 16_384
 # Similarities are compared at this many decimals; equal ones are ordered by id.
 SCORE_DECIMALS = 6
 # A task remembers the buckets of at most so many words.
@@ -134,38 +138,61 @@ def _unit_matrix(column: pa.ChunkedArray, rows: np.ndarray, dim: int) -> np.ndar
 
 
 def _widths(column: pa.ChunkedArray) -> np.ndarray:
-    return np.array([0 if v is None else len(v) for v in column.to_pylist()], dtype=np.int64)
+    return pc.fill_null(pc.list_value_length(column), 0).to_numpy().astype(np.int64)
+
+
+def _best_of_block(asked: np.ndarray, vectors: np.ndarray, single: np.ndarray, top_k: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(question, vector, score) of the ``top_k`` best of some vectors for each of some questions; all are of unit length and finite.
+
+    Single precision rules out what stays below the k-th score by more than its error and the rounding; the others are scored in double.
+    """
+    rough = asked.astype(np.float32) @ single.T
+    most = int(top_k.max(initial=0))
+    if most < 1:
+        rows = columns = np.zeros(0, dtype=np.int64)
+    elif most < len(vectors):
+        error = (vectors.shape[1] + 8) * 2.0**-23
+        floor = np.partition(rough, len(vectors) - most, axis=1)[:, len(vectors) - most]
+        rows, columns = np.nonzero(rough >= (floor - np.float32(2 * error + 2 * 10.0**-SCORE_DECIMALS))[:, None])
+    else:
+        rows, columns = (x.ravel() for x in np.indices(rough.shape))
+    scores = np.zeros(len(rows))
+    for at in range(0, len(rows), PAIRS_AT_ONCE):
+        some = slice(at, at + PAIRS_AT_ONCE)
+        scores[some] = np.einsum("ij,ij->i", asked[rows[some]], vectors[columns[some]])
+    scores = np.round(scores, SCORE_DECIMALS)
+    order = np.lexsort((columns, -scores, rows))
+    rows, columns, scores = rows[order], columns[order], scores[order]
+    kept = np.arange(len(rows)) - np.searchsorted(rows, rows) < top_k[rows]
+    return rows[kept], columns[kept], scores[kept]
 
 
 def _best_pairs(asked: pa.Table, chunks: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(question row, chunk row, score) of the best chunks in a tile, by vector length; ties by chunk id."""
-    chunks = chunks.append_column("_row", pa.array(np.arange(len(chunks)))).sort_by("chunk_id")
-    place = chunks.column("_row").to_numpy()
-    asked_widths, widths = _widths(asked.column("qvec")), _widths(chunks.column("embedding"))
-    types = np.array(chunks.column("doc_type").to_pylist(), dtype=object)
-    wanted, top_k = asked.column("wanted").to_pylist(), asked.column("top_k").to_pylist()
-    found: list[tuple[int, np.ndarray, np.ndarray]] = []
+    place = pc.sort_indices(chunks, sort_keys=[("chunk_id", "ascending")]).to_numpy().astype(np.int64)
+    asked_widths, widths = _widths(asked.column("qvec")), _widths(chunks.column("embedding"))[place]
+    types = np.array(chunks.column("doc_type").to_pylist(), dtype=object)[place]
+    wanted = np.array(asked.column("wanted").to_pylist(), dtype=object)
+    top_k = asked.column("top_k").to_numpy().astype(np.int64)
+    none = np.zeros(0, dtype=np.int64)
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = [(none, none, np.zeros(0))]
     for dim in np.unique(asked_widths[asked_widths > 0]).tolist():
         ours, theirs = np.flatnonzero(asked_widths == dim), np.flatnonzero(widths == dim)
         if not len(theirs):
             continue
-        vectors = _unit_matrix(chunks.column("embedding"), theirs, dim)
-        scores = np.round(_unit_matrix(asked.column("qvec"), ours, dim) @ vectors.T, SCORE_DECIMALS)
-        scores[~np.isfinite(scores)] = -np.inf
-        for question, mine in zip(ours.tolist(), scores):
-            if wanted[question] is not None:
-                mine = np.where(types[theirs] == wanted[question], mine, -np.inf)
-            best = np.argsort(-mine, kind="stable")[: top_k[question]]
-            best = best[mine[best] > -np.inf]
-            found.append((question, place[theirs[best]], mine[best]))
-    if not found:
-        none = np.zeros(0, dtype=np.int64)
-        return none, none, np.zeros(0)
-    return (
-        np.concatenate([np.full(len(rows), q) for q, rows, _ in found]),
-        np.concatenate([rows for _, rows, _ in found]),
-        np.concatenate([scores for _, _, scores in found]),
-    )
+        vectors, questions = _unit_matrix(chunks.column("embedding"), place[theirs], dim), _unit_matrix(asked.column("qvec"), ours, dim)
+        usable, asks = np.isfinite(vectors).all(axis=1), np.isfinite(questions).all(axis=1)
+        theirs, vectors, ours, questions = theirs[usable], vectors[usable], ours[asks], questions[asks]
+        for kind in {*wanted[ours].tolist()}:
+            fits = slice(None) if kind is None else types[theirs] == kind
+            mine = np.flatnonzero([w == kind for w in wanted[ours].tolist()])
+            fitting = vectors[fits]
+            single = fitting.astype(np.float32)
+            for at in range(0, len(mine), QUESTIONS_AT_ONCE) if len(fitting) else ():
+                some = mine[at : at + QUESTIONS_AT_ONCE]
+                rows, columns, scores = _best_of_block(questions[some], fitting, single, top_k[ours[some]])
+                found.append((ours[some][rows], place[theirs[fits][columns]], scores))
+    return tuple(np.concatenate(part) for part in zip(*found))
 
 
 def _ranked(found: DataFrame) -> DataFrame:
@@ -184,8 +211,8 @@ def similarity_topk_batch(emb: DataFrame, questions: DataFrame, k: int | None =
     """
     spark = emb.sparkSession
     asked = _asked(questions, k)
-    tiles = max(int(spark.conf.get("spark.sql.shuffle.partitions")), emb.count() // CHUNKS_PER_TILE + 1)
     asked_tiles = asked.count() // QUESTIONS_PER_TILE + 1
+    tiles = max(-(-int(spark.conf.get("spark.sql.shuffle.partitions")) // asked_tiles), emb.count() // CHUNKS_PER_TILE + 1)
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     hashed = lambda c, n: F.pmod(F.xxhash64(F.col(c).cast("string")), F.lit(n)).cast("int")
     left = asked.withColumn("q_tile", hashed("query_id", asked_tiles)).withColumn("c_tile", every(tiles))
@@ -223,22 +250,12 @@ def similarity_topk(
     return similarity_topk_batch(emb, asked, k).drop("query_id")
 
 
-def _dot(left: Column, right: Column) -> Column:
-    products = F.zip_with(left, right, lambda x, y: x.cast("double") * y)
-    return F.aggregate(products, F.lit(0.0), lambda a, x: a + x)
-
-
-def _cosine(left: str, right: str) -> Column:
-    norms = F.sqrt(_dot(F.col(left), F.col(left))) * F.sqrt(_dot(F.col(right), F.col(right)))
-    return F.round(_dot(F.col(left), F.col(right)) / norms, SCORE_DECIMALS)
-
-
 @dataclass(frozen=True)
 class CellIndex:
     """Chunks stored once each, in the folder of their nearest cell, and what is known of the cells.
 
-    ``rows`` is the stored table with column ``cell``; ``centers`` the cells' vectors, ``sizes`` the number of chunks by cell and type:
-    both are bounded by the number of cells.
+    ``rows`` is the stored table with columns ``cell`` and ``_lot``, a number of the row; ``centers`` the cells' vectors, ``sizes`` the
+    number of chunks by cell and type: both are bounded by the number of cells.
     """
 
     rows: DataFrame
@@ -274,6 +291,7 @@ def cell_index(emb: DataFrame, dim: int, cells: int = CELLS, probed: int = PROBE
         return pd.Series(_nearest_cells(np.stack(vectors.to_list()).astype(float), centers, 1)[:, 0].astype("int32"))
 
     placed = known.withColumn("cell", nearest("embedding")).repartitionByRange("cell", "chunk_id")
+    placed = placed.withColumn("_lot", F.monotonically_increasing_id())
     if path is None:
         rows = park(placed, "cells")
     else:
@@ -310,12 +328,44 @@ def search_cells(index: CellIndex, questions: DataFrame, k: int | None = DEFAULT
     probes = held.withColumn("so_far", F.coalesce(F.sum("n").over(before), F.lit(0))).where(
         (F.col("place") < index.probed) | (F.col("so_far") < F.col("top_k"))
     )
-    kept = [c for c in index.rows.columns if c not in ("embedding", "cell")]
-    fits = (F.col("cell") == F.col("probe")) & (F.col("wanted").isNull() | (F.col("wanted") == F.col("doc_type")))
-    scored = index.rows.join(probes.select("query_id", "probe", "top_k", "qvec", "wanted"), fits).select(
-        "query_id", "top_k", _cosine("embedding", "qvec").alias("score"), *kept
+    # one row for each cell, and a frame for each side
+    parts = (F.sum("n") / CHUNKS_PER_TILE).cast("int")
+    ours, theirs = (F.broadcast(index.sizes.groupBy("cell").agg(parts.alias(name))) for name in ("parts", "lots"))
+    asked_tiles = asked.count() // QUESTIONS_PER_TILE + 1
+    every = lambda n: F.explode(F.sequence(F.lit(0), n))
+    hashed = lambda c, n: F.pmod(F.xxhash64(c), n).cast("int")
+    left = (
+        probes.select("query_id", "top_k", "wanted", "qvec", F.col("probe").alias("cell"))
+        .join(ours, "cell")
+        .withColumn("q_tile", hashed(F.col("query_id").cast("string"), F.lit(asked_tiles)))
+        .withColumn("part", every(F.col("parts")))
+    )
+    right = (
+        index.rows.select("cell", "_lot", "chunk_id", "doc_type", "embedding")
+        .join(theirs, "cell")
+        .withColumn("part", hashed(F.col("_lot"), F.col("lots") + 1))
+        .withColumn("q_tile", every(F.lit(asked_tiles - 1)))
     )
-    return _ranked(scored).select("query_id", "rank", "score", *kept)
+
+    def search(key, asked_rows, chunk_rows):
+        q, c, scores = _best_pairs(asked_rows, chunk_rows)
+        q, c = pa.array(q), pa.array(c)
+        return pa.table(
+            [asked_rows.column("query_id").take(q), asked_rows.column("top_k").take(q), chunk_rows.column("chunk_id").take(c),
+             chunk_rows.column("_lot").take(c), pa.array(scores, pa.float64())],
+            names=["query_id", "top_k", "chunk_id", "lot", "score"],
+        )
+
+    schema = StructType([
+        asked.schema["query_id"], asked.schema["top_k"], index.rows.schema["chunk_id"], StructField("lot", LongType()),
+        StructField("score", DoubleType()),
+    ])
+    key = ("cell", "part", "q_tile")
+    found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(search, schema)
+    hits = _ranked(found).select("query_id", "rank", "score", "lot")
+    kept = [c for c in index.rows.columns if c not in ("embedding", "cell", "_lot")]
+    texts = index.rows.select(*kept, "_lot")
+    return texts.join(hits, F.col("_lot") == F.col("lot")).select("query_id", "rank", "score", *kept)
 
 
 def nearest_chunks(corpus, questions: DataFrame, k: int | None = DEFAULT_K) -> DataFrame:

@@ -103,6 +103,41 @@ def test_cell_index_recall(emb, questions):
     assert near.intersect(exact).count() >= 0.9 * exact.count()
 
 
+def test_cell_search_scores_tiles_and_returns_repeated_rows_each(spark, emb, corpus, questions, monkeypatch):
+    twice = emb.unionByName(emb.where("chunk_id = 'c030'"))
+    for per_tile in (8192, 20):
+        monkeypatch.setattr(v, "QUESTIONS_PER_TILE", per_tile)
+        monkeypatch.setattr(v, "CHUNKS_PER_TILE", per_tile)
+        near = v.search_cells(v.cell_index(twice, DIM, cells=8, probed=8), questions.drop("doc_filter"), 2)
+        plan = near._jdf.queryExecution().toString()
+        assert "FlatMapCoGroupsInArrow" in plan and "zip_with" not in plan  # no row for each pair
+        found = sorted((r["rank"], r.chunk_id, r.chunk_text) for r in near.where("query_id = 1").collect())
+        assert found == [(1, "c030", "text 30"), (2, "c030", "text 30")]
+
+
+def test_tiles_of_chunks_do_not_multiply_with_tiles_of_questions(spark, emb, corpus, monkeypatch):
+    monkeypatch.setattr(v, "QUESTIONS_PER_TILE", 40)
+    data = [(i, x.astype(float).tolist()) for i, x in enumerate(corpus)]
+    hits = v.similarity_topk_batch(emb, spark.createDataFrame(data, "query_id int, qvec array<double>"), 3)
+    plan = hits._jdf.queryExecution().analyzed().toString()
+    # eleven tiles of questions on eight tasks: each question meets one tile of chunks
+    assert "explode(sequence(0, (1 - 1)" in plan or "explode(sequence(0, 0" in plan
+    assert hits.count() == 3 * len(corpus)
+
+
+def test_pairs_ruled_out_in_single_precision_change_no_hit():
+    rnd = np.random.default_rng(5)
+    vectors = rnd.normal(size=(300, 8))
+    vectors[100:200] = vectors[0] + rnd.normal(size=(100, 8)) * 3e-7  # apart by less than single precision
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    asked, top_k = vectors[:20], np.array([0, 1, 5, 300, 400] * 4)
+    rows, columns, scores = v._best_of_block(asked, vectors, vectors.astype(np.float32), top_k)
+    for q in range(20):
+        full = np.round(np.einsum("ij,ij->i", np.broadcast_to(asked[q], vectors.shape), vectors), 6)
+        best = np.lexsort((np.arange(300), -full))[: top_k[q]]
+        assert columns[rows == q].tolist() == best.tolist() and scores[rows == q].tolist() == full[best].tolist()
+
+
 def test_embedding_is_unit_length_and_blank_is_empty(spark):
     df = spark.createDataFrame(
         [(1, "Laptop battery battery"), (2, "  \n"), (3, None), (4, "laptop warranty")],

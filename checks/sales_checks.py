@@ -434,7 +434,8 @@ def _(spark, sf):
 
 @check("j3_product_rows", "SELECT * EXCLUDE (product_key) FROM product_dim")
 def _(spark, sf):
-    rows = park(wide(spark, sf), "wide")
+    used = ["product_sku", "product_name", "category", "brand", "units_sold", "revenue", "unit_price", "transaction_id", "customer_name", "country", "region"]
+    rows = park(wide(spark, sf).select(*used), "wide")
     products = rows.select("product_sku", "product_name", "category", "brand").distinct()
     return sales.product_rows(products, sales.gold_product_performance(rows))
 

@@ -113,6 +113,24 @@ def test_sku_with_two_names_fans_out(wide, rows):
     assert rows(stored) == rows(dim)
 
 
+def test_product_mart_shuffles_each_transaction_once_even_with_crowded_products(wide, rows, monkeypatch):
+    more = wide.unionByName(wide.where("product_sku = 'A'").withColumn("customer_name", F.lit(None).cast("string")))
+    more = more.unionByName(wide.where("product_sku = 'B'").withColumn("product_name", F.lit(None).cast("string")).withColumn("country", F.lit("CA")))
+    expected = more.groupBy("product_sku", "product_name", "category", "brand").agg(
+        F.sum("units_sold"), F.sum("revenue"), F.count_distinct("transaction_id").alias("o"), F.count_distinct("customer_name").alias("c"),
+        F.count_distinct("country").alias("l"), F.count_distinct("region").alias("r"),
+    )
+    plans = []
+    for crowded in (sales.CROWDED, 1):
+        monkeypatch.setattr(sales, "CROWDED", crowded)
+        mart = sales.gold_product_performance(more)
+        plans.append(mart._jdf.queryExecution().optimizedPlan().toString())
+        found = mart.drop("avg_selling_price", "last_updated")
+        assert rows(found) == rows(expected)
+        assert dict(found.dtypes)["total_orders"] == dict(found.dtypes)["regions_sold"] == "bigint"
+    assert "Expand" not in plans[0] and "Expand" in plans[1]
+
+
 def test_product_ranks_share_on_ties(spark, rows):
     products = spark.createDataFrame(
         [(f"s{i}", f"p{i}", c, "b", D(r), 1, 1, 1.0, 1, 1, 1) for i, (c, r) in enumerate(

@@ -31,7 +31,7 @@ PAIRS_AT_ONCE = 16_384
 # Similarities are compared at this many decimals; equal ones are ordered by id.
 SCORE_DECIMALS = 6
 # A task remembers the buckets of at most so many words.
-REMEMBERED_WORDS = 500_000
+REMEMBERED_WORDS = 200_000
 # The cell index: cells, and how many of the nearest are looked into. Nearly isotropic vectors need
 # three quarters of the cells for nine in ten of the true hits; clustered ones need fewer.
 CELLS = 32
@@ -71,8 +71,8 @@ def fit_embedder(df: DataFrame, text: str, dim: int = EMBEDDING_DIM) -> TermMode
     def seen(batches):
         counts, rows, buckets = np.zeros(dim, dtype=np.int64), 0, _Buckets(dim)
         for batch in batches:
-            for value in batch.column(0).to_pylist():
-                counts[list(set(buckets.of_text(value or "")))] += 1
+            for value in batch.column(0):
+                counts[list(set(buckets.of_text(value.as_py() or "")))] += 1
                 rows += 1
         yield pa.RecordBatch.from_arrays(
             [pa.array([*range(dim), dim]), pa.array([*counts.tolist(), rows], pa.int64())], ["bucket", "n"]
@@ -91,18 +91,25 @@ def embed(df: DataFrame, text: str, model: TermModel, out: str = "embedding") ->
     """
     dim, idf = model.dim, np.array(model.idf)
 
-    def vector(value: str | None, buckets: _Buckets) -> list[float]:
-        if value is None or not value.strip():
-            return []
+    def vector(value: str, buckets: _Buckets) -> np.ndarray:
         weights = np.bincount(np.array(buckets.of_text(value), dtype=np.int64), minlength=dim) * idf
         norm = math.sqrt(weights @ weights)
         return (weights / norm if norm else weights).astype(np.float32)
 
-    @F.pandas_udf("array<float>")
-    def vectors(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<float>")
+    def vectors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        # One text at a time leaves Arrow's memory, and its vector goes straight into the batch's.
         buckets = _Buckets(dim)
         for texts in batches:
-            yield texts.map(lambda text: vector(text, buckets), na_action=None)
+            ends, at = np.zeros(len(texts) + 1, dtype=np.int32), 0
+            flat = np.empty((len(texts), dim), dtype=np.float32)
+            for row, text in enumerate(texts):
+                value = text.as_py()
+                if value is not None and value.strip():
+                    flat[at] = vector(value, buckets)
+                    at += 1
+                ends[row + 1] = at * dim
+            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(flat[:at].reshape(-1)))
 
     return df.withColumn(out, vectors(F.col(text).cast("string")))
 

@@ -151,6 +151,14 @@ def test_embedding_is_unit_length_and_blank_is_empty(spark):
     assert len(found[1]) == 32 and abs(np.linalg.norm(found[1]) - 1) < 1e-6
 
 
+def test_texts_are_embedded_without_a_frame_of_them(spark):
+    df = spark.createDataFrame([(1, "laptop"), (2, " "), (3, "drill laptop"), (4, None), (5, "...")], "id int, t string")
+    out = v.embed(df.repartition(1), "t", v.fit_embedder(df, "t", 8))
+    assert ", 204" not in out._jdf.queryExecution().executedPlan().toString()  # texts as frames of strings
+    found = {r.id: r.embedding for r in out.collect()}
+    assert [len(found[i]) for i in (1, 2, 3, 4, 5)] == [8, 0, 8, 0, 8] and found[5] == [0.0] * 8
+
+
 def test_hit_lists_survive_json(emb, questions):
     hits = v.similarity_topk_batch(emb, questions, 3)
     lists = v.hits_to_json(hits)

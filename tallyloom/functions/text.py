@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -57,6 +60,32 @@ def contains_any(column: Column | str, words: Sequence[str]) -> Column:
     return reduce(Column.__or__, (text.contains(word) for word in words), F.lit(False))
 
 
+def _any_of(words: Sequence[str]) -> str:
+    return "|".join(map(re.escape, words))
+
+
+def lists_found(column: Column | str, lists: Mapping[str, Sequence[str]]) -> Column:
+    """For each of some lists of words whether the text holds one of them as a substring, a struct by the lists' names.
+
+    The same as ``contains_any`` of each, NULL text included, but texts are scanned once for all words, and those that hold any once for each list.
+    Marked nondeterministic so that no condition on it makes Spark scan twice.
+    """
+    patterns = {name: _any_of(words) for name, words in lists.items() if words}
+    either = "|".join(patterns.values())
+
+    @F.arrow_udf(", ".join(f"`{name}` boolean" for name in lists))
+    def found(texts: pa.Array) -> pa.Array:
+        none = pc.and_(pc.is_null(texts), False)
+        some = pc.match_substring_regex(texts, either) if patterns else none
+        chosen = texts.filter(some)
+        by_pattern = {p: pc.replace_with_mask(none, some.fill_null(False), pc.match_substring_regex(chosen, p)) for p in {*patterns.values()}}
+        held = [by_pattern[patterns[name]] if name in patterns else none for name in lists]
+        unknown = pc.if_else(pc.is_null(texts), pa.scalar(None, pa.bool_()), True)
+        return pa.StructArray.from_arrays([pc.and_(x, unknown) for x in held], names=list(lists))
+
+    return found.asNondeterministic()(_col(column))
+
+
 def match_key(column: Column | str) -> Column:
     """What two lines must share to count as the same: lower-case ASCII letters and digits."""
     return F.regexp_replace(F.lower(_col(column)), "[^a-z0-9]+", "")

@@ -38,6 +38,8 @@ CELLS = 32
 PROBED_CELLS = 24
 
 _WORD = regex.compile(r"[\p{L}\p{N}]+")
+# What is no part of a word becomes a space: ASCII texts are cut several times faster so.
+_ASCII_WORDS = {c: chr(c) if _WORD.fullmatch(chr(c)) else " " for c in range(128)}
 
 
 @dataclass(frozen=True)
@@ -62,7 +64,9 @@ class _Buckets(dict):
         return bucket
 
     def of_text(self, text: str) -> list[int]:
-        return [self[word] for word in _WORD.findall(text.lower())]
+        lowered = text.lower()
+        words = lowered.translate(_ASCII_WORDS).split() if lowered.isascii() else _WORD.findall(lowered)
+        return list(map(self.__getitem__, words))
 
 
 def fit_embedder(df: DataFrame, text: str, dim: int = EMBEDDING_DIM) -> TermModel:

@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions import wordlists as words
-from tallyloom.functions.text import SPACES, contains_any, match_key
-from tallyloom.operators.text import chunk_lines, classify
+from tallyloom.functions.text import SPACES, lists_found, match_key
+from tallyloom.operators.text import chunk_lines
 from tallyloom.operators.vectors import SCORE_DECIMALS, TermModel
 from tallyloom.plans import answers
 
@@ -29,30 +29,41 @@ WORD, QUOTES = r"[\p{L}\p{N}]+", "[\"']"
 PRODUCT_KINDS = {"warranty": answers.WARRANTY, "specs": answers.TECH_SPECS, "certifications": answers.CERTIFICATIONS}
 
 
-def _foreign(markers: Mapping[str, Sequence[str]]) -> Column:
-    """The products whose questions must not be answered with a line."""
-    return F.array_compact(F.array(*(F.when(contains_any("lowered", found), F.lit(name)) for name, found in markers.items())))
+# The lists that a line is held against; a line's own words decide which answers may print it.
+_WORD_LISTS = {
+    **{f"{name} skip": kind.skip for name, kind in PRODUCT_KINDS.items()},
+    **{f"{name} words": kind.keywords for name, kind in PRODUCT_KINDS.items()},
+    "profile skip": words.SPEC_METADATA_WORDS,
+    "search skip": words.METADATA_WORDS,
+    "discount skip": words.DISCOUNT_METADATA_WORDS,
+    "discount words": words.DISCOUNT_WORDS,
+    **{f"section {name}": found for name, found in answers.PROFILE_SECTIONS.items()},
+    **{f"warranty of {name}": found for name, found in words.WARRANTY_OTHER_PRODUCT_MARKERS.items()},
+    **{f"other of {name}": found for name, found in words.OTHER_PRODUCT_MARKERS.items()},
+}
 
 
-def _uses() -> Column:
-    """The answers that may print a line, by its words alone."""
-    of_kind = {name: ~contains_any("lowered", kind.skip) & contains_any("lowered", kind.keywords) for name, kind in PRODUCT_KINDS.items()}
-    of_kind["profile"] = ~contains_any("lowered", words.SPEC_METADATA_WORDS)
-    of_kind["search"] = ~contains_any("lowered", words.METADATA_WORDS)
-    of_kind["discount"] = ~contains_any("lowered", words.DISCOUNT_METADATA_WORDS) & contains_any("lowered", words.DISCOUNT_WORDS)
-    return F.array_compact(F.array(*(F.when(condition, F.lit(name)) for name, condition in of_kind.items())))
+def _named(conditions: Mapping[str, Column]) -> Column:
+    """The names whose conditions hold."""
+    return F.array_compact(F.array(*(F.when(condition, F.lit(name)) for name, condition in conditions.items())))
 
 
 def answer_lines(chunks: DataFrame) -> DataFrame:
     """Every cleaned line of the chunks with its match key, the answers that may print it, its section and the products it excludes."""
-    lines = chunk_lines(chunks.select("chunk_id", "chunk_text"))
+    lines = chunk_lines(chunks.select("chunk_id", "chunk_text")).withColumn("_found", lists_found("lowered", _WORD_LISTS))
+    has = lambda name: F.col("_found")[name]
+    uses = {name: ~has(f"{name} skip") & has(f"{name} words") for name in (*PRODUCT_KINDS, "discount")}
+    uses |= {name: ~has(f"{name} skip") for name in ("profile", "search")}
+    section = F
+    for name in answers.PROFILE_SECTIONS:
+        section = section.when(has(f"section {name}"), name)
     return lines.select(
         "chunk_id", "line_no", "line",
         match_key("line").alias("key"),
-        _uses().alias("uses"),
-        classify("lowered", "line", answers.PROFILE_SECTIONS).alias("section"),
-        _foreign(words.WARRANTY_OTHER_PRODUCT_MARKERS).alias("foreign_warranty"),
-        _foreign(words.OTHER_PRODUCT_MARKERS).alias("foreign_other"),
+        _named(uses).alias("uses"),
+        section.when(F.length("line") > 15, "features").alias("section"),
+        _named({name: has(f"warranty of {name}") for name in words.WARRANTY_OTHER_PRODUCT_MARKERS}).alias("foreign_warranty"),
+        _named({name: has(f"other of {name}") for name in words.OTHER_PRODUCT_MARKERS}).alias("foreign_other"),
     ).where(F.size("uses") > 0)
 
 

@@ -145,3 +145,36 @@ def test_classify_order(spark, rows):
         ("Too short", None),
     ]
     assert df.select(F.max(ft.contains_any("lowered", []))).first()[0] is False
+
+
+def test_lists_of_words_are_found_as_word_by_word(spark):
+    from tallyloom.functions.text import contains_any, lists_found
+
+    lists = {"marks": ["a.b", "c|d", "e & f", "½ µm"], "same": ["c|d"], "none": [], "5g phone": ["\\", "("]}
+    texts = ["axb", "a.b", "cd c", "x c|d", "e & f (", "of ½ µm", "", "\\", None, "nothing"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
+    found = df.withColumn("found", lists_found("t", lists)).select("id", *(F.col("found")[name].alias(name) for name in lists))
+    plain = df.select("id", *(contains_any("t", found).alias(name) for name, found in lists.items()))
+    by_id = {r.id: r for r in plain.collect()}
+    for row in found.collect():
+        assert {k: v for k, v in row.asDict().items() if k != "none"} == {k: v for k, v in by_id[row.id].asDict().items() if k != "none"}
+        assert not row["none"]
+
+
+def test_ascii_texts_have_the_words_of_the_pattern():
+    from tallyloom.operators.vectors import _WORD, _Buckets
+
+    buckets = _Buckets(1 << 30)
+    text = "".join(map(chr, range(128))) + " Ab_c-9 x\tY\n\x1cz"
+    for asked in (text, text + " ß½é"):
+        assert buckets.of_text(asked) == [buckets[w] for w in _WORD.findall(asked.lower())]
+
+
+def test_a_condition_on_lines_does_not_scan_them_twice(spark):
+    from tallyloom.plans.sql_answers import answer_lines
+
+    chunks = spark.createDataFrame([("a", "warranty of two years\nFCC Certified")], "chunk_id string, chunk_text string")
+    lines = answer_lines(chunks)
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "Contains" not in plan and "contains(" not in plan
+    assert {r.line: sorted(r.uses) for r in lines.collect()}["FCC Certified"] == ["certifications", "profile", "search"]

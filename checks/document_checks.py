@@ -12,7 +12,7 @@ from tallyloom.operators import vectors as v
 from tallyloom.operators.audits import embedding_audit
 from tallyloom.operators.ranking import first_n_per, top_n
 from tallyloom.plans import answers
-from tallyloom.session import scratch_path
+from tallyloom.session import park, scratch_path
 from tallyloom.sources import adapters
 from tallyloom.sources.documents import assemble_documents
 from tallyloom.sources.files import create_table_as, rewrite_table
@@ -861,6 +861,7 @@ def _(spark, sf):
 def _(spark, sf):
     # the answers' retrieval over a cell index against the exact search
     held, embedder = corpus(spark, sf)
+    held = park(held, "corpus-vectors")  # read by the exact search, twice by the index and by both for texts
     asked = questions(spark, sf).drop("qvec")
     index = v.cell_index(held, _DIM)
     exact, near = (

@@ -225,3 +225,21 @@ def test_text_questions_find_their_chunk(spark):
     asked = spark.createDataFrame([(1, "zeta, delta?"), (2, "theta")], "query_id int, query_text string")
     hits = answers.retrieve(corpus, asked, answers.embed_with(model), F.col("query_text"), 1)
     assert {(h.query_id, h.chunk_id) for h in hits.collect()} == {(1, "1"), (2, "2")}
+
+
+def test_index_and_exact_search_read_stored_vectors(spark, monkeypatch):
+    from checks import document_checks as dc
+    from checks.registry import QUERIES
+
+    texts = [(i, f"file{i}", f"doc://{i}", "product_spec", f"about {i} and word{i % 7}") for i in range(60)]
+    chunks = spark.createDataFrame(texts, "chunk_id long, file_name string, source_url string, doc_type string, chunk_text string")
+    model = dc.v.fit_embedder(chunks, "chunk_text", dc._DIM)
+    emb = dc.v.embed(chunks, "chunk_text", model)
+    asked = spark.createDataFrame([(1, [1.0], "about 1", "All")], "query_id int, qvec array<double>, query_text string, doc_type string")
+    seen, index = [], dc.v.cell_index
+    monkeypatch.setattr(dc, "corpus", lambda *_: (emb, dc.answers.embed_with(model)))
+    monkeypatch.setattr(dc, "questions", lambda *_: asked)
+    monkeypatch.setattr(dc.v, "cell_index", lambda held, dim: seen.append(held) or index(held, dim))
+    assert QUERIES["x5_search_docs_by_index"](spark, "").head()[0]
+    assert "ArrowEvalPython" in emb._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in seen[0]._jdf.queryExecution().executedPlan().toString()

@@ -25,7 +25,7 @@ _GEOGRAPHY = ["country", "state", "city", "region"]
 # The order in which the published tables list a place.
 _PLACE = ["country", "region", "state", "city"]
 _PRODUCT = ["product_sku", "product_name", "category", "brand"]
-# The transactions of a product with no more rows than this meet in one task.
+# The transactions of a product or a place with no more rows than this meet in one task.
 CROWDED = 1 << 20
 
 
@@ -200,46 +200,52 @@ def _product_measures(rows: DataFrame, distinct) -> DataFrame:
     )
 
 
-def gold_product_performance(wide: DataFrame) -> DataFrame:
-    """One row per product. Eager: products of more than CROWDED rows are looked for first.
+def _gathered(wide: DataFrame, keys: list[str], columns: list[str], measures) -> DataFrame:
+    """``measures(rows, distinct)`` for each group of ``keys``. Eager: groups of more than CROWDED rows are looked for first.
 
-    Four distinct counts in one aggregation take five rows for each transaction, twice shuffled. Instead the transactions of a product meet in one task,
-    once, and its values are collected as sets of at most CROWDED; the few products with more rows are spread by their values.
+    Several distinct counts in one aggregation take a row for each transaction and count, held by the tasks and twice shuffled. Instead the transactions
+    of a group meet in one task, once, and its values are collected as sets of at most CROWDED; the few groups with more rows are spread by their values.
     """
-    held = wide.groupBy(*_PRODUCT).agg(F.count(F.lit(1)).alias("_n"))
+    held = wide.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     crowded = held.where(F.col("_n") > CROWDED).drop("_n").collect()  # one for each CROWDED rows at most
     together = lambda c: F.size(F.collect_set(c)).cast("bigint")
-    rows = wide.select(*_PRODUCT, "units_sold", "revenue", "unit_price", "transaction_id", "customer_name", "country", "region")
-    if crowded:
-        apart = F.broadcast(wide.sparkSession.createDataFrame(crowded, wide.select(*_PRODUCT).schema))
-        spread = _product_measures(join_null_safe(rows, apart, _PRODUCT, "left_semi"), F.count_distinct)
-        rows = join_null_safe(rows, apart, _PRODUCT, "left_anti")
-    measures = _product_measures(rows.repartition(*_PRODUCT), together)
+    rows = wide.select(*keys, *columns)
     if crowded:
-        measures = measures.unionByName(spread)
-    return measures.withColumn("last_updated", F.current_timestamp())
+        apart = F.broadcast(wide.sparkSession.createDataFrame(crowded, wide.select(*keys).schema))
+        spread = measures(join_null_safe(rows, apart, keys, "left_semi"), F.count_distinct)
+        rows = join_null_safe(rows, apart, keys, "left_anti")
+    found = measures(rows.repartition(*keys), together)
+    return found.unionByName(spread) if crowded else found
+
+
+def gold_product_performance(wide: DataFrame) -> DataFrame:
+    """One row per product."""
+    columns = ["units_sold", "revenue", "unit_price", "transaction_id", "customer_name", "country", "region"]
+    return _gathered(wide, _PRODUCT, columns, _product_measures).withColumn("last_updated", F.current_timestamp())
+
+
+def _place_measures(rows: DataFrame, distinct) -> DataFrame:
+    """The mart's columns by place; ``distinct`` gives the number of a column's different values other than NULL."""
+    return rows.groupBy(*_PLACE).agg(
+        F.sum("revenue").alias("total_revenue"),
+        F.sum("units_sold").alias("total_units_sold"),
+        distinct("transaction_id").alias("total_orders"),
+        distinct("customer_name").alias("unique_customers"),
+        mean("revenue").alias("avg_order_value"),
+        distinct("product_sku").alias("unique_products_sold"),
+        distinct("category").alias("categories_sold"),
+        F.min("transaction_date").alias("first_sale_date"),
+        F.max("transaction_date").alias("last_sale_date"),
+        distinct("transaction_date").alias("days_with_sales"),
+        _rows_of("B2B").alias("b2b_customers"),
+        _rows_of("B2C").alias("b2c_customers"),
+    )
 
 
 def gold_geography_performance(wide: DataFrame) -> DataFrame:
     """By place. The two customer-type columns count transactions, as their consumers expect."""
-    return (
-        wide.groupBy(*_PLACE)
-        .agg(
-            F.sum("revenue").alias("total_revenue"),
-            F.sum("units_sold").alias("total_units_sold"),
-            F.count_distinct("transaction_id").alias("total_orders"),
-            F.count_distinct("customer_name").alias("unique_customers"),
-            mean("revenue").alias("avg_order_value"),
-            F.count_distinct("product_sku").alias("unique_products_sold"),
-            F.count_distinct("category").alias("categories_sold"),
-            F.min("transaction_date").alias("first_sale_date"),
-            F.max("transaction_date").alias("last_sale_date"),
-            F.count_distinct("transaction_date").alias("days_with_sales"),
-            _rows_of("B2B").alias("b2b_customers"),
-            _rows_of("B2C").alias("b2c_customers"),
-        )
-        .withColumn("last_updated", F.current_timestamp())
-    )
+    columns = ["revenue", "units_sold", "transaction_id", "customer_name", "product_sku", "category", "transaction_date", "customer_type"]
+    return _gathered(wide, _PLACE, columns, _place_measures).withColumn("last_updated", F.current_timestamp())
 
 
 def date_dim(wide: DataFrame) -> DataFrame:

@@ -131,6 +131,24 @@ def test_product_mart_shuffles_each_transaction_once_even_with_crowded_products(
     assert "Expand" not in plans[0] and "Expand" in plans[1]
 
 
+def test_place_mart_takes_each_transaction_once_even_with_crowded_places(wide, rows, monkeypatch):
+    more = wide.unionByName(wide.withColumn("customer_name", F.lit(None).cast("string")))
+    more = more.unionByName(wide.withColumn("country", F.lit(None).cast("string")).withColumn("product_sku", F.lit("other")))
+    expected = more.groupBy("country", "region", "state", "city").agg(
+        F.sum("revenue"), F.sum("units_sold"), F.count_distinct("transaction_id"), F.count_distinct("customer_name"), F.count_distinct("product_sku"),
+        F.count_distinct("category"), F.min("transaction_date"), F.max("transaction_date"), F.count_distinct("transaction_date"),
+        F.count_if(F.col("customer_type") == "B2B"), F.count_if(F.col("customer_type") == "B2C"),
+    )
+    plans = []
+    for crowded in (sales.CROWDED, 1):
+        monkeypatch.setattr(sales, "CROWDED", crowded)
+        mart = sales.gold_geography_performance(more)
+        plans.append(mart._jdf.queryExecution().optimizedPlan().toString())
+        assert rows(mart.drop("avg_order_value", "last_updated")) == rows(expected)
+        assert dict(mart.dtypes)["total_orders"] == dict(mart.dtypes)["days_with_sales"] == "bigint"
+    assert "Expand" not in plans[0] and "Expand" in plans[1]
+
+
 def test_product_ranks_share_on_ties(spark, rows):
     products = spark.createDataFrame(
         [(f"s{i}", f"p{i}", c, "b", D(r), 1, 1, 1.0, 1, 1, 1) for i, (c, r) in enumerate(

@@ -138,3 +138,22 @@ def test_derived_metrics(tables, rows):
 def test_every_relationship_is_audited():
     assert len(metrics.RELATIONSHIPS) == 25
     assert callable(relations.orphans_by_edge)
+
+
+def test_lives_of_larger_places_come_from_the_stored_ones(spark, rows, tmp_path, monkeypatch):
+    from tallyloom.sources import adapters
+
+    made = {
+        "lineitem": ([(1, 7, 2.0), (1, 8, 3.0), (2, 7, 4.0), (None, 7, 5.0)], "l_orderkey long, l_suppkey long, l_quantity double"),
+        "orders": ([(1, 5), (2, 305), (3, None)], "o_orderkey long, o_custkey long"),
+        "customer": ([(5,), (305,), (55,), (None,)], "c_custkey long"),
+    }
+    for name, (held, schema) in made.items():
+        spark.createDataFrame(held, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    names = ["fact_zip_enrolled_lives", "fact_county_enrolled_lives", "fact_msa_enrolled_lives", "fact_state_enrolled_lives"]
+    anew = adapters.coverage_tables(spark, str(tmp_path))
+    expected = [rows(anew[name]) for name in names]
+    stored = adapters.coverage_tables(spark, str(tmp_path), stored=True)
+    assert rows(stored[names[0]]) == expected[0] and len(expected[0]) == 2
+    monkeypatch.setattr(adapters, "table", lambda s, d, name, read=adapters.table: {"customer": read}[name](s, d, name))
+    assert [rows(stored[name]) for name in names[1:]] == expected[1:]

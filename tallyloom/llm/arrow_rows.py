@@ -25,8 +25,3 @@ def by_width(column: pa.Array):
     lengths = np.asarray(column.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)
     for width in np.unique(lengths).tolist():
         yield width, np.flatnonzero(lengths == width)
-
-
-def unpack(column: pa.ChunkedArray, dtype, width: int) -> np.ndarray:
-    """A column of equally long binary values as a matrix of numbers."""
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=dtype).reshape(-1, width) if width else np.zeros((len(column), 0), dtype)
